@@ -15,11 +15,9 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lanecost.functions.calendar import date_dimension, spanning_date_dimension
-from lanecost.functions.scalars import key_of_date, round_money
-from lanecost.functions.shipments import recorded_freight
+from lanecost.functions.scalars import key_of_date
 from lanecost.schemas import SCHEMAS, SYNTHETIC, Star
 
 SHIPMENT_COLUMNS = tuple(SCHEMAS["fact_shipment"].fieldNames())
@@ -33,18 +31,36 @@ _BY_RATE = {"baseline_rate_inr_kg", "baseline_fuel_inr", "modeled_baseline_inr"}
 CALENDAR_SPAN = ("1970-01-01", "2069-12-31")
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns read from each table; given, so that opening a table needs no job.
+_SOURCES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double",
+}
+
+
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given Parquet tables."""
+    return spark.read.schema(_SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _order_side(spark: SparkSession, sf_dir: str, with_nation: bool) -> DataFrame:
     """One row per order. Customer and nation are joined here, on the order
     side, so the far larger line items are shuffled once, by order."""
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    orders = source(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     if not with_nation:
         return orders
-    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    customer = source(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = source(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     return orders.join(customer, orders.o_custkey == customer.c_custkey, "left").join(
         nation, customer.c_nationkey == nation.n_nationkey, "left"
     )
@@ -59,115 +75,90 @@ def shipments(
     if unknown:
         raise ValueError(f"unknown shipment columns: {sorted(unknown)}")
 
-    df = _table(spark, sf_dir, "lineitem")
-    absent: dict[str, T.DataType] = {}
+    df = source(spark, sf_dir, "lineitem")
+    absent = []
 
     need_nation = bool(wanted & (_BY_DATE | {"route_id"}))
     if need_nation or wanted & (_BY_MODE | {"customer_id"}):
         orders = _order_side(spark, sf_dir, need_nation)
         df = df.join(orders, df.l_orderkey == orders.o_orderkey, "left")
     else:
-        absent |= {"o_custkey": T.LongType(), "o_orderpriority": T.StringType()}
+        absent += ["bigint(NULL) AS o_custkey", "string(NULL) AS o_orderpriority"]
     if not need_nation:
-        absent |= {"c_nationkey": T.IntegerType(), "n_regionkey": T.IntegerType()}
+        absent += ["int(NULL) AS c_nationkey", "int(NULL) AS n_regionkey"]
     if wanted & _BY_RATE:
-        part = _table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+        part = source(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
         df = df.join(part, df.l_partkey == part.p_partkey, "left")
     else:
-        absent["p_retailprice"] = T.DoubleType()
+        absent += ["double(NULL) AS p_retailprice"]
     if "route_id" in wanted:
-        supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        supplier = source(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         df = df.join(supplier, df.l_suppkey == supplier.s_suppkey, "left")
     else:
-        absent["s_nationkey"] = T.IntegerType()
-    df = df.withColumns({name: F.lit(None).cast(kind) for name, kind in absent.items()})
-    return _derive(df).select(*[c for c in SHIPMENT_COLUMNS if c in wanted])
-
-
-def _derive(df: DataFrame) -> DataFrame:
-    """All shipment columns; Catalyst drops the ones not selected afterwards."""
-    col, lit, when = F.col, F.lit, F.when
-    returned = col("l_returnflag") == "R"
-    priority = col("o_orderpriority")
-
-    df = df.withColumns(
-        {
-            "ship_date": col("l_shipdate").cast("date"),
-            "planned_mode": when(priority == "1-URGENT", "Air")
-            .when(priority.isin("2-HIGH", "3-MEDIUM"), "Road")
-            .otherwise("Sea"),
-            "weight_kg": col("l_quantity").cast("decimal(12,2)"),
-            "base_freight_inr": col("l_extendedprice").cast("decimal(16,2)"),
-            "baseline_rate_inr_kg": col("p_retailprice").cast("decimal(12,2)"),
-            "expedited_flag": when(returned, 1).otherwise(0),
-            "handling_charge_inr": lit(Decimal("1800.00")).cast("decimal(16,2)"),
-            "baseline_handling_inr": lit(Decimal("1800.00")).cast("decimal(16,2)"),
-        }
-    )
-    base = col("base_freight_inr")
-    df = df.withColumns(
-        {
-            "actual_mode": when((col("planned_mode") == "Sea") & returned, "Air").otherwise(
-                col("planned_mode")
-            ),
-            "fuel_surcharge_inr": round_money(base * col("l_tax").cast("decimal(4,2)")),
-            "expedite_fee_inr": when(
-                returned, round_money(base * col("l_discount").cast("decimal(4,2)"))
-            ).otherwise(lit(0).cast("decimal(16,2)")),
-            "planned_base_inr": round_money(col("weight_kg") * col("baseline_rate_inr_kg")),
-            "planned_days": when(col("planned_mode") == "Road", 5)
-            .when(col("planned_mode") == "Sea", 24)
-            .otherwise(4)
-            + when(col("n_regionkey") == 1, 3).otherwise(0),
-            "actual_days": (1 + (col("l_orderkey") + col("l_partkey")) % 30).cast("int"),
-        }
-    )
-    df = df.withColumns(
-        {
-            "promised_delivery_date": F.date_add("ship_date", col("planned_days")),
-            "actual_delivery_date": F.date_add("ship_date", col("actual_days")),
-            "baseline_fuel_inr": round_money(
-                col("planned_base_inr") * lit(Decimal("0.12")).cast("decimal(4,2)")
-            ),
-        }
-    )
-    late_line = col("l_linenumber") % 3
-    return df.withColumns(
-        {
-            "shipment_id": F.concat_ws(
-                "-",
-                *[
-                    col(c).cast("string")
-                    for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-                ],
-            ),
-            "ship_date_key": key_of_date(col("ship_date")),
-            "customer_id": col("o_custkey"),
-            "carrier_id": col("l_suppkey"),
-            "route_id": (col("s_nationkey") * 100 + col("c_nationkey")).cast("int"),
-            "recorded_freight_inr": recorded_freight(),
-            "modeled_baseline_inr": (
-                col("planned_base_inr")
-                + col("baseline_fuel_inr")
-                + col("baseline_handling_inr")
-            ).cast("decimal(16,2)"),
-            "delay_reason": when(
-                col("actual_delivery_date") <= col("promised_delivery_date"), "None"
-            )
-            .when(late_line == 0, "Weather")
-            .when(late_line == 1, "Capacity constraint")
-            .otherwise("Documentation"),
-            "data_type": lit(SYNTHETIC),
-        }
-    )
+        absent += ["int(NULL) AS s_nationkey"]
+
+    df = df.selectExpr("*", *absent)
+    for step in _DERIVED:
+        df = df.selectExpr("*", *[f"{expr} AS {name}" for name, expr in step.items()])
+    return df.select(*[c for c in SHIPMENT_COLUMNS if c in wanted])
+
+
+# Shipment columns from the joined row, each step using the ones before it.
+# Catalyst drops whatever a query does not select.
+_DERIVED: tuple[dict[str, str], ...] = (
+    {
+        "ship_date": "CAST(l_shipdate AS DATE)",
+        "planned_mode": "CASE WHEN o_orderpriority = '1-URGENT' THEN 'Air' "
+        "WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN 'Road' ELSE 'Sea' END",
+        "weight_kg": "CAST(l_quantity AS DECIMAL(12,2))",
+        "base_freight_inr": "CAST(l_extendedprice AS DECIMAL(16,2))",
+        "baseline_rate_inr_kg": "CAST(p_retailprice AS DECIMAL(12,2))",
+        "expedited_flag": "IF(l_returnflag = 'R', 1, 0)",
+        "handling_charge_inr": "CAST(1800 AS DECIMAL(16,2))",
+        "baseline_handling_inr": "CAST(1800 AS DECIMAL(16,2))",
+        "shipment_id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)",
+        "customer_id": "o_custkey",
+        "carrier_id": "l_suppkey",
+        "route_id": "s_nationkey * 100 + c_nationkey",
+        "actual_days": "CAST(1 + (l_orderkey + l_partkey) % 30 AS INT)",
+        "data_type": f"'{SYNTHETIC}'",
+    },
+    {
+        "ship_date_key": "year(ship_date) * 10000 + month(ship_date) * 100 + day(ship_date)",
+        "actual_mode": "CASE WHEN planned_mode = 'Sea' AND l_returnflag = 'R' THEN 'Air' "
+        "ELSE planned_mode END",
+        "fuel_surcharge_inr": "CAST(round(base_freight_inr * CAST(l_tax AS DECIMAL(4,2)), 2) "
+        "AS DECIMAL(16,2))",
+        "expedite_fee_inr": "CAST(CASE WHEN l_returnflag = 'R' THEN "
+        "round(base_freight_inr * CAST(l_discount AS DECIMAL(4,2)), 2) ELSE 0 END "
+        "AS DECIMAL(16,2))",
+        "planned_base_inr": "CAST(round(weight_kg * baseline_rate_inr_kg, 2) AS DECIMAL(16,2))",
+        "planned_days": "CASE planned_mode WHEN 'Road' THEN 5 WHEN 'Sea' THEN 24 ELSE 4 END "
+        "+ IF(n_regionkey = 1, 3, 0)",
+    },
+    {
+        "promised_delivery_date": "date_add(ship_date, planned_days)",
+        "actual_delivery_date": "date_add(ship_date, actual_days)",
+        "baseline_fuel_inr": "CAST(round(planned_base_inr * 0.12, 2) AS DECIMAL(16,2))",
+    },
+    {
+        "recorded_freight_inr": "CAST(base_freight_inr + fuel_surcharge_inr "
+        "+ handling_charge_inr + expedite_fee_inr AS DECIMAL(16,2))",
+        "modeled_baseline_inr": "CAST(planned_base_inr + baseline_fuel_inr "
+        "+ baseline_handling_inr AS DECIMAL(16,2))",
+        "delay_reason": "CASE WHEN actual_delivery_date <= promised_delivery_date THEN 'None' "
+        "WHEN l_linenumber % 3 = 0 THEN 'Weather' "
+        "WHEN l_linenumber % 3 = 1 THEN 'Capacity constraint' ELSE 'Documentation' END",
+    },
+)
 
 
 def ordered_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variant for the date rules: dispatched on the order date, delivered on the
     ship date. The two are unrelated in the data, so deliveries before dispatch
     are frequent. Other columns as in :func:`shipments`."""
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
+    orders = source(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    lines = source(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
     delivered = F.col("l_shipdate").cast("date")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left").select(
         key_of_date(F.col("o_orderdate").cast("date")).alias("ship_date_key"),
@@ -177,7 +168,7 @@ def ordered_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer").select(
+    return source(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.col("c_mktsegment").alias("segment"),
@@ -186,7 +177,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "supplier").select(
+    return source(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("carrier_id"),
         F.col("s_name").alias("carrier_name"),
         F.lit(SYNTHETIC).alias("data_type"),
@@ -197,10 +188,10 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lanes between nations. The route key holds the destination nation in its
     last two digits, so each origin lists those hundred codes and an equi-join
     keeps the ones that are nations."""
-    region = _table(spark, sf_dir, "region").select(
+    region = source(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("region"), F.col("r_name").alias("destination_country")
     )
-    nation = _table(spark, sf_dir, "nation")
+    nation = source(spark, sf_dir, "nation")
     destination = nation.select(
         F.col("n_nationkey").alias("code"),
         F.col("n_name").alias("destination_city"),
@@ -235,7 +226,7 @@ def dates(spark: SparkSession) -> DataFrame:
 
 def observed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dispatch calendar of the ship years present, for member lists."""
-    return spanning_date_dimension(_table(spark, sf_dir, "lineitem"), "l_shipdate")
+    return spanning_date_dimension(source(spark, sf_dir, "lineitem"), "l_shipdate")
 
 
 def order_star(
