@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as white space when values are stripped: Unicode spaces plus the
-# four ASCII separators.
-_SPACE = r"[\s\x1c-\x1f]+"
+# The characters that count as white space when values are stripped.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(value: Column) -> Column:
-    """Remove white space at both ends; ``trim`` would leave tabs and newlines."""
-    return F.regexp_replace(value, rf"(?U)^{_SPACE}|{_SPACE}$", "")
+    """Remove white space of any kind at both ends; by default only spaces go."""
+    return F.trim(value, F.lit(WHITE_SPACE))
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
