@@ -3,19 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import oracle
+from lanecost.functions.calendar import auto_calendar
+from lanecost.functions.scalars import count_where
+from lanecost.functions.shipments import is_late
+from lanecost.operators import rules
+from lanecost.operators.convert import accepted, convert, rejects
 from lanecost.operators.drill import ROLES, drill_down
+from lanecost.operators.fingerprints import file_fingerprints
+from lanecost.operators.fingerprints import table_fingerprint as fingerprint
 from lanecost.operators.measures import SUMMED_COLUMNS, measures, needed_columns
-from lanecost.plans import headline, quality, reports, views
+from lanecost.operators.numbering import sequential_ids
+from lanecost.operators.upsert import insert_absent, upsert
+from lanecost.plans import headline, model, quality, reports, views
+from lanecost.plans.load import Store, load, run_states
+from lanecost.schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES
+from lanecost.sources.csv_files import (
+    malformed_records,
+    require_well_formed,
+    scan_csv,
+    write_csv,
+)
+from lanecost.sources.faults import as_text_with_faults, with_faults
+from lanecost.sources.folders import shared_folder
 from lanecost.sources.order_star import (
+    SHIPMENT_COLUMNS,
+    SHIPMENT_TEXT_LIMITS,
+    customers,
     observed_dates,
     order_star,
     ordered_shipments,
     shipments,
+    source,
 )
 
 
@@ -349,8 +373,6 @@ def overview_filtered(spark, sf_dir):
     ),
 )
 def slicer_values(spark, sf_dir):
-    from dataclasses import replace
-
     star = order_star(spark, sf_dir, ["actual_mode"])
     return reports.slicer_values(replace(star, dim_date=observed_dates(spark, sf_dir)))
 
@@ -400,3 +422,516 @@ def _drill(role):
 
 for _role in ROLES:
     _drill(_role)
+
+
+# --- rules -----------------------------------------------------------------------
+
+_ROUTE_COUNT = """ UNION ALL SELECT 'dim_route', NULL, 'C2', 'route_id',
+    'dim_route: expected 8 rows, found ' || CAST(n AS VARCHAR)
+    FROM (SELECT COUNT(*) AS n FROM dim_route) WHERE n<>8"""
+
+
+def _faulty_star(spark, sf_dir, columns=None):
+    """Star whose shipments carry the known faults."""
+    star = order_star(spark, sf_dir, columns)
+    return star.with_fact(with_faults(star.fact_shipment))
+
+
+@register(
+    "violations",
+    oracle.star(oracle.findings("fact_shipment", "faulty") + _ROUTE_COUNT, oracle.FAULTY),
+)
+def violations(spark, sf_dir):
+    found = rules.violations(_faulty_star(spark, sf_dir), expected_rows={"dim_route": 8})
+    return found.select(*rules.FINDING_COLUMNS)
+
+
+@register(
+    "violation_summary",
+    oracle.star(
+        "SELECT table_name, rule, column_name, COUNT(*) AS findings FROM ("
+        + oracle.findings("fact_shipment", "fact_shipment")
+        + ") GROUP BY 1,2,3"
+    ),
+)
+def violation_summary(spark, sf_dir):
+    return rules.summarise(rules.violations(order_star(spark, sf_dir)))
+
+
+@register(
+    "late_snapshot",
+    oracle.star(
+        """SELECT 'fact_shipment' AS table_name, 'C19' AS rule,
+        'actual_delivery_date' AS column_name, COUNT(*) AS findings
+        FROM fact_shipment WHERE actual_delivery_date>DATE '2001-10-01'
+        HAVING COUNT(*)>0"""
+    ),
+)
+def late_snapshot(spark, sf_dir):
+    found = rules.row_findings(
+        order_star(spark, sf_dir),
+        as_of="2001-10-01",
+        tables=["fact_shipment"],
+        text_limits=SHIPMENT_TEXT_LIMITS,
+    )
+    return rules.summarise(found)
+
+
+@register(
+    "orphan_keys",
+    oracle.star(
+        " UNION ALL ".join(
+            f"""SELECT '{column}' AS column_name, CAST({column} AS BIGINT) AS key_value,
+            COUNT(*) AS rows FROM faulty f
+            WHERE NOT EXISTS (SELECT 1 FROM {table} d WHERE d.{key}=f.{column}) GROUP BY 2"""
+            for column, (table, key) in FOREIGN_KEYS.items()
+        ),
+        oracle.FAULTY,
+    ),
+)
+def orphan_keys(spark, sf_dir):
+    return quality.orphan_keys(_faulty_star(spark, sf_dir, {*_KEYS, "weight_kg"}))
+
+
+@register(
+    "duplicate_keys",
+    """SELECT l_orderkey, l_linenumber, COUNT(*) AS rows FROM lineitem
+    GROUP BY 1,2 HAVING COUNT(*)>1""",
+)
+def duplicate_keys(spark, sf_dir):
+    return quality.duplicate_keys(source(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "dispatch_months",
+    oracle.star("SELECT COUNT(DISTINCT ship_date_key//100) AS months FROM fact_shipment"),
+)
+def dispatch_months(spark, sf_dir):
+    return rules.month_count(order_star(spark, sf_dir, ["ship_date_key"]))
+
+
+@register("faulty_quality_checks", oracle.star(_CHECKS.format(table="faulty"), oracle.FAULTY))
+def faulty_quality_checks(spark, sf_dir):
+    return quality.quality_checks(_faulty_star(spark, sf_dir))
+
+
+_RECONCILED = (
+    " UNION ALL ".join(
+        f"""SELECT '{table}' AS check_name, a.n AS expected, b.n AS found_rows,
+        b.k AS found_keys, a.n=b.n AND a.n=b.k AS passed
+        FROM (SELECT COUNT(*) AS n FROM {table}) a,
+        (SELECT COUNT(*) AS n, COUNT(DISTINCT {key}) AS k FROM {{{table}}}) b"""
+        for table, key in PRIMARY_KEYS.items()
+    )
+    + """ UNION ALL SELECT 'business_rules', 0, n, n, n=0 FROM (SELECT COUNT(*) AS n
+    FROM {fact_shipment} WHERE data_type<>'SYNTHETIC' OR recorded_freight_inr<0
+    OR modeled_baseline_inr<=0)"""
+)
+
+
+@register(
+    "reconcile",
+    oracle.star(
+        _RECONCILED.format(**{t: t for t in TABLES} | {"fact_shipment": "faulty"}),
+        oracle.FAULTY,
+    ),
+)
+def reconcile(spark, sf_dir):
+    star = order_star(spark, sf_dir)
+    return quality.reconcile(star.tables(), _faulty_star(spark, sf_dir).tables())
+
+
+# --- loading ---------------------------------------------------------------------
+
+_BATCH_COLUMNS = (
+    "shipment_id",
+    "ship_date_key",
+    "planned_mode",
+    "expedited_flag",
+    "expedite_fee_inr",
+    "recorded_freight_inr",
+)
+_BATCH = """target AS (SELECT {c} FROM fact_shipment WHERE planned_mode<>'Sea'),
+incoming AS (SELECT {c} FROM (SELECT * REPLACE (CAST(0 AS DECIMAL(16,2)) AS expedite_fee_inr,
+  CAST(recorded_freight_inr-expedite_fee_inr AS DECIMAL(16,2)) AS recorded_freight_inr)
+  FROM fact_shipment WHERE expedited_flag=1))""".format(c=", ".join(_BATCH_COLUMNS))
+
+
+def _batches(spark, sf_dir):
+    """A table of the shipments not planned by sea, and a batch that waives the
+    fee of every expedited shipment, some of which the table already has."""
+    fact = shipments(spark, sf_dir, _BATCH_COLUMNS)
+    target = fact.where("planned_mode <> 'Sea'")
+    waived = fact.where("expedited_flag = 1").selectExpr(
+        *_BATCH_COLUMNS[:4],
+        "CAST(0 AS DECIMAL(16,2)) AS expedite_fee_inr",
+        "CAST(recorded_freight_inr - expedite_fee_inr AS DECIMAL(16,2)) AS recorded_freight_inr",
+    )
+    return target, waived
+
+
+@register(
+    "upsert_update",
+    oracle.star(
+        """SELECT * FROM incoming UNION ALL SELECT * FROM target t
+        WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.shipment_id=t.shipment_id)""",
+        _BATCH,
+    ),
+)
+def upsert_update(spark, sf_dir):
+    return upsert(*_batches(spark, sf_dir), "shipment_id")
+
+
+@register(
+    "seed_insert",
+    oracle.star(
+        """SELECT * FROM target UNION ALL SELECT * FROM incoming i
+        WHERE NOT EXISTS (SELECT 1 FROM target t WHERE i.shipment_id=t.shipment_id)""",
+        _BATCH,
+    ),
+)
+def seed_insert(spark, sf_dir):
+    return insert_absent(*_batches(spark, sf_dir), "shipment_id")
+
+
+def _new_store(spark, star, purpose):
+    schemas = {t: df.schema for t, df in star.tables().items()}
+    return Store(spark, shared_folder(spark, purpose), schemas)
+
+
+@register(
+    "load_run",
+    oracle.star(_RECONCILED.format(**{t: t for t in TABLES})),
+)
+def load_run(spark, sf_dir):
+    """A whole load, from validation to publication; its reconciliation."""
+    star = order_star(spark, sf_dir)
+    store = _new_store(spark, star, "load")
+    return load(store, star.tables(), text_limits=SHIPMENT_TEXT_LIMITS)
+
+
+@register(
+    "incremental_batch",
+    oracle.star(
+        """, moved AS (SELECT * REPLACE (
+          CAST(strftime(CAST(strptime(CAST(ship_date_key AS VARCHAR),'%Y%m%d') AS DATE)+31,
+            '%Y%m%d') AS INT) AS ship_date_key,
+          promised_delivery_date+31 AS promised_delivery_date,
+          actual_delivery_date+31 AS actual_delivery_date)
+          FROM fact_shipment WHERE delay_reason='Weather'),
+        final AS (SELECT * FROM moved
+          UNION ALL SELECT * FROM fact_shipment WHERE delay_reason<>'Weather')
+        SELECT CAST(ship_date_key//100 AS INT) AS ship_month, COUNT(*) AS shipments,
+          CAST(SUM(recorded_freight_inr) AS DECIMAL(26,2)) AS recorded_freight_inr,
+          COUNT(CASE WHEN actual_delivery_date>promised_delivery_date THEN 1 END) AS late
+        FROM final GROUP BY 1"""
+    ),
+)
+def incremental_batch(spark, sf_dir):
+    """A first load without expedited shipments, then a batch that adds those and
+    moves every weather-delayed shipment to 31 days later, across months."""
+    star = order_star(spark, sf_dir)
+    fact = star.fact_shipment
+    store = _new_store(spark, star, "batches")
+    first = star.with_fact(fact.where("expedited_flag = 0"))
+    load(store, first.tables(), text_limits=SHIPMENT_TEXT_LIMITS)
+
+    weather = "delay_reason = 'Weather'"
+    later = {
+        "ship_date_key": "CAST(date_format(date_add(to_date(CAST(ship_date_key AS STRING), "
+        "'yyyyMMdd'), 31), 'yyyyMMdd') AS INT)",
+        "promised_delivery_date": "date_add(promised_delivery_date, 31)",
+        "actual_delivery_date": "date_add(actual_delivery_date, 31)",
+    }
+    batch = fact.where(f"expedited_flag = 1 OR {weather}").selectExpr(
+        *[f"IF({weather}, {later[c]}, {c}) AS {c}" if c in later else c for c in fact.columns]
+    )
+    batch_tables = {"fact_shipment": batch}
+    load(store, batch_tables, whole=False, text_limits=SHIPMENT_TEXT_LIMITS)
+    return (
+        store.table("fact_shipment")
+        .groupBy(F.expr("CAST(ship_date_key DIV 100 AS INT)").alias("ship_month"))
+        .agg(
+            F.count(F.lit(1)).alias("shipments"),
+            F.sum("recorded_freight_inr").alias("recorded_freight_inr"),
+            count_where(is_late()).alias("late"),
+        )
+    )
+
+
+_LOG_EVENTS = """events_log AS (SELECT 'run-' || CAST(user_id AS VARCHAR) AS run_id, ts,
+  CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAILED' ELSE 'RUNNING' END
+    AS status, event_id AS rows_processed,
+  event_type || ' ' || CAST(event_id AS VARCHAR) AS message FROM events)"""
+
+
+@register(
+    "run_log_state",
+    f"""WITH {_LOG_EVENTS},
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts DESC,
+        status<>'RUNNING' DESC, status DESC, rows_processed DESC, message DESC) AS rn,
+        MIN(ts) OVER (PARTITION BY run_id) AS started_at,
+        MAX(CASE WHEN status<>'RUNNING' THEN ts END) OVER (PARTITION BY run_id) AS last_end
+      FROM events_log)
+    SELECT run_id, started_at, CASE WHEN status<>'RUNNING' THEN last_end END AS finished_at,
+      status, rows_processed, message FROM ranked WHERE rn=1""",
+)
+def run_log_state(spark, sf_dir):
+    """The event table read as a run log: one run per user."""
+    return run_states(
+        source(spark, sf_dir, "events").selectExpr(
+            "concat('run-', user_id) AS run_id",
+            "ts",
+            "CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAILED' "
+            "ELSE 'RUNNING' END AS status",
+            "event_id AS rows_processed",
+            "concat(event_type, ' ', event_id) AS message",
+        )
+    )
+
+
+# --- files -----------------------------------------------------------------------
+
+
+@register("csv_scan_roundtrip", oracle.star("SELECT * FROM fact_shipment"))
+def csv_scan_roundtrip(spark, sf_dir):
+    """Shipments written as CSV, columns in reverse, and read back by name."""
+    fact = shipments(spark, sf_dir)
+    path = f"{shared_folder(spark, 'csv')}/fact_shipment.csv"
+    write_csv(fact.select(*reversed(fact.columns)), path)
+    text = require_well_formed(scan_csv(spark, path, fact.columns), "fact_shipment.csv")
+    return accepted(convert(text, "fact_shipment", fact.schema))
+
+
+_TEXT_FAULTS = (
+    (50, "weight_kg", "''", "B2", "contains a blank value"),
+    (48, "customer_id", "'c' || CAST(customer_id AS VARCHAR)", "B3", "is not an integer"),
+    (
+        47,
+        "promised_delivery_date",
+        "replace(CAST(promised_delivery_date AS VARCHAR),'-','/')",
+        "B5",
+        "is not an ISO date",
+    ),
+    (46, "fuel_surcharge_inr", "'1.005'", "B4_scale", "does not fit its decimal type"),
+    (44, "route_id", "''", "B2", "contains a blank value"),
+    (43, "recorded_freight_inr", "'12,50'", "B4", "is not a decimal number"),
+    (42, "actual_delivery_date", "'2025-02-30'", "B5", "is not an ISO date"),
+    (41, "expedited_flag", "'99999999999'", "B3", "is not an integer"),
+)
+
+
+@register(
+    "csv_rejects",
+    oracle.star(
+        " UNION ALL ".join(
+            f"""SELECT 'fact_shipment' AS table_name, shipment_id AS row_key,
+            '{column}' AS column_name, NULLIF({raw},'') AS raw, '{rule}' AS rule,
+            'fact_shipment.{column} {message}' AS message
+            FROM fact_shipment WHERE weight_kg={weight}"""
+            for weight, column, raw, rule, message in _TEXT_FAULTS
+        )
+    ),
+)
+def csv_rejects(spark, sf_dir):
+    """Faulty text written as CSV; the values that do not convert."""
+    fact = shipments(spark, sf_dir)
+    path = f"{shared_folder(spark, 'csv')}/fact_shipment.csv"
+    write_csv(as_text_with_faults(fact), path)
+    text = require_well_formed(scan_csv(spark, path, fact.columns), "fact_shipment.csv")
+    found = rejects(convert(text, "fact_shipment", fact.schema), "fact_shipment")
+    # A blank may be read as an empty or a missing value.
+    return found.withColumn("raw", F.nullif("raw", F.lit("")))
+
+
+_CARRIER_LINE = "CAST(s_suppkey AS VARCHAR) || ',' || s_name || CASE s_nationkey "
+_CARRIER_LINE += "WHEN 3 THEN ',SYNTHETIC,extra' WHEN 7 THEN '' ELSE ',SYNTHETIC' END"
+
+
+@register(
+    "csv_malformed",
+    f"""SELECT 'dim_carrier.csv' AS file_name, {_CARRIER_LINE} AS record,
+    'dim_carrier.csv: wrong number of values' AS message
+    FROM supplier WHERE s_nationkey IN (3,7)""",
+)
+def csv_malformed(spark, sf_dir):
+    """Carrier lines, those of two nations one value too long or too short."""
+    columns = ["carrier_id", "carrier_name", "data_type"]
+    line = (
+        "concat(s_suppkey, ',', s_name, CASE s_nationkey WHEN 3 THEN ',SYNTHETIC,extra' "
+        "WHEN 7 THEN '' ELSE ',SYNTHETIC' END)"
+    )
+    path = f"{shared_folder(spark, 'csv')}/dim_carrier.csv"
+    lines = source(spark, sf_dir, "supplier").select(F.expr(line).alias(",".join(columns)))
+    # One column without quoting: each value is a line as it stands.
+    lines.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(path)
+    return malformed_records(scan_csv(spark, path, columns), "dim_carrier.csv")
+
+
+_FILE_ROWS = 100_000
+
+
+@register(
+    "file_fingerprint",
+    f"""SELECT CAST(customer_id//{_FILE_ROWS} AS BIGINT) AS block,
+    sha256('customer_id,customer_name,segment,data_type' || chr(10)
+      || string_agg(line, chr(10) ORDER BY customer_id) || chr(10)) AS sha256
+    FROM (SELECT c_custkey AS customer_id, CAST(c_custkey AS VARCHAR) || ',' || c_name || ','
+      || c_mktsegment || ',SYNTHETIC' AS line FROM customer) GROUP BY 1""",
+)
+def file_fingerprint(spark, sf_dir):
+    """Customers exported as CSV files of bounded size; the hash of each file."""
+    path = shared_folder(spark, "export")
+    blocks = customers(spark, sf_dir).withColumn(
+        "block", F.expr(f"customer_id DIV {_FILE_ROWS}")
+    )
+    ordered = blocks.repartition("block").sortWithinPartitions("block", "customer_id")
+    ordered.write.partitionBy("block").option("header", True).csv(path)
+    block = F.regexp_extract("path", "block=([0-9]+)", 1).cast("bigint")
+    return file_fingerprints(spark, path).select(block.alias("block"), "sha256")
+
+
+@register(
+    "table_fingerprint",
+    oracle.star(
+        """SELECT COUNT(*) AS rows, CAST(SUM(h) AS DECIMAL(38,0)) AS digest_sum,
+        bit_xor(h) AS digest_xor FROM (SELECT CAST('0x' || substr(md5(concat_ws('|', """
+        + ", ".join(f"COALESCE(CAST({c} AS VARCHAR),'\\N')" for c in SHIPMENT_COLUMNS)
+        + """)),1,15) AS BIGINT) AS h FROM fact_shipment)"""
+    ),
+)
+def table_fingerprint(spark, sf_dir):
+    return fingerprint(shipments(spark, sf_dir), portable=True)
+
+
+@register("table_fingerprint_fast")
+def table_fingerprint_fast(spark, sf_dir):
+    return fingerprint(shipments(spark, sf_dir))
+
+
+@register(
+    "dataset_profile",
+    oracle.star(
+        f"""SELECT COUNT(*) AS shipment_count, COUNT(DISTINCT ship_date_key//100) AS months,
+        MIN(ship_date_key) AS ship_date_min, MAX(ship_date_key) AS ship_date_max,
+        CAST(SUM(recorded_freight_inr) AS DECIMAL(26,2)) AS recorded_freight_inr,
+        CAST(SUM(modeled_baseline_inr) AS DECIMAL(26,2)) AS modeled_baseline_inr,
+        {oracle.N_LATE} AS late_shipments,
+        CAST(SUM(expedited_flag) AS BIGINT) AS expedited_shipments FROM fact_shipment"""
+    ),
+)
+def dataset_profile(spark, sf_dir):
+    columns = ("ship_date_key", "expedited_flag", *_DATES, *_COSTS)
+    return model.dataset_profile(shipments(spark, sf_dir, columns))
+
+
+# --- planning model ----------------------------------------------------------------
+
+_CARD = """card AS (SELECT * FROM (VALUES ('Road', CAST(18 AS DECIMAL(12,2)), 5),
+  ('Sea', CAST(32 AS DECIMAL(12,2)), 24), ('Air', CAST(210 AS DECIMAL(12,2)), 4))
+  c(mode, mode_rate, days))"""
+
+
+@register(
+    "baseline_model",
+    oracle.star(
+        """, r AS (SELECT shipment_id, weight_kg,
+          CAST(ROUND(mode_rate*rate_factor,2) AS DECIMAL(12,2)) AS rate
+          FROM fact_shipment JOIN dim_route USING (route_id) JOIN card ON mode=planned_mode),
+        p AS (SELECT *, CAST(ROUND(weight_kg*rate,2) AS DECIMAL(16,2)) AS base FROM r),
+        q AS (SELECT *, CAST(ROUND(base*CAST(0.12 AS DECIMAL(4,2)),2) AS DECIMAL(16,2)) AS fuel
+          FROM p)
+        SELECT shipment_id, rate AS baseline_rate_inr_kg, base AS planned_base_inr,
+          fuel AS baseline_fuel_inr, CAST(1800 AS DECIMAL(16,2)) AS baseline_handling_inr,
+          CAST(base+fuel+1800 AS DECIMAL(16,2)) AS modeled_baseline_inr FROM q""",
+        _CARD,
+    ),
+)
+def baseline_model(spark, sf_dir):
+    columns = ("shipment_id", "planned_mode", "route_id", "weight_kg")
+    return model.baseline_model(order_star(spark, sf_dir, columns), model.rate_card(spark))
+
+
+@register(
+    "promised_date",
+    oracle.star(
+        """SELECT shipment_id, calendar_date + days + CASE WHEN destination_country='AMERICA'
+          THEN 3 ELSE 0 END AS promised_delivery_date
+        FROM fact_shipment JOIN dim_date ON ship_date_key=date_key
+        JOIN dim_route USING (route_id) JOIN card ON mode=planned_mode""",
+        _CARD,
+    ),
+)
+def promised_date(spark, sf_dir):
+    columns = ("shipment_id", "ship_date_key", "planned_mode", "route_id")
+    star = order_star(spark, sf_dir, columns)
+    return model.promised_dates(star, model.rate_card(spark), ["AMERICA"])
+
+
+@register(
+    "mode_upgrades",
+    oracle.star(
+        """SELECT planned_mode, actual_mode, planned_mode<>actual_mode AS mode_changed,
+        COUNT(*) AS shipments, CAST(SUM(expedite_fee_inr) AS DECIMAL(26,2)) AS expedite_fee_inr
+        FROM fact_shipment GROUP BY 1,2"""
+    ),
+)
+def mode_upgrades(spark, sf_dir):
+    columns = ("planned_mode", "actual_mode", "expedite_fee_inr")
+    return model.mode_upgrades(shipments(spark, sf_dir, columns))
+
+
+@register(
+    "shipment_ids",
+    oracle.star(
+        """SELECT shipment_id, ship_date_key, 'SIM-' || CASE WHEN n<100000
+          THEN lpad(CAST(n AS VARCHAR),5,'0') ELSE CAST(n AS VARCHAR) END AS sequence_id
+        FROM (SELECT shipment_id, ship_date_key, row_number() OVER
+          (ORDER BY ship_date_key, md5(shipment_id), shipment_id) AS n FROM fact_shipment)"""
+    ),
+)
+def shipment_ids(spark, sf_dir):
+    fact = shipments(spark, sf_dir, ["shipment_id", "ship_date_key"])
+    return sequential_ids(fact, "ship_date_key", "shipment_id")
+
+
+_SHIP_YEARS = """FROM (SELECT CAST(unnest(generate_series(make_date(MIN(year(l_shipdate)),1,1),
+  make_date(MAX(year(l_shipdate)),12,31), INTERVAL 1 DAY)) AS DATE) AS day FROM lineitem)"""
+
+
+@register(
+    "date_dimension",
+    f"""SELECT CAST(strftime(day,'%Y%m%d') AS INT) AS date_key, day AS calendar_date,
+    CAST(year(day) AS INT) AS calendar_year, CAST(month(day) AS INT) AS month_number,
+    strftime(day,'%B') AS month_name, strftime(day,'%Y-%m') AS year_month,
+    CAST(quarter(day) AS INT) AS quarter_number {_SHIP_YEARS}""",
+)
+def date_dimension(spark, sf_dir):
+    return observed_dates(spark, sf_dir)
+
+
+def _calendar(name, column, read):
+    @register(
+        name,
+        oracle.star(
+            f"""SELECT day AS "Date", CAST(year(day) AS INT) AS "Year",
+            CAST(month(day) AS INT) AS "MonthNo", strftime(day,'%B') AS "Month",
+            CAST(quarter(day) AS INT) AS "QuarterNo", 'Qtr ' || CAST(quarter(day) AS VARCHAR)
+            AS "Quarter", CAST(day(day) AS INT) AS "Day"
+            FROM (SELECT CAST(unnest(generate_series(make_date(MIN(year({column})),1,1),
+              make_date(MAX(year({column})),12,31), INTERVAL 1 DAY)) AS DATE) AS day
+              FROM (SELECT *, CAST(strptime(CAST(ship_date_key AS VARCHAR),'%Y%m%d') AS DATE)
+                AS calendar_date FROM fact_shipment))"""
+        ),
+    )
+    def run(spark, sf_dir):
+        return auto_calendar(read(spark, sf_dir), column)
+
+
+_calendar("auto_calendar", "calendar_date", observed_dates)
+for _column in _DATES:
+    _calendar(
+        f"auto_calendar_{_column.split('_')[0]}",
+        _column,
+        lambda spark, sf_dir, column=_column: shipments(spark, sf_dir, [column]),
+    )

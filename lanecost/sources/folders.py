@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="lanecost-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which every executor can
-    reach. Where the session names none, as in tests, a temporary folder of this
-    machine becomes its checkpoint folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="lanecost-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    reach. Only where the session names none, as in tests, a temporary folder of
+    this machine is used."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

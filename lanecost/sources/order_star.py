@@ -18,10 +18,13 @@ from pyspark.sql import functions as F
 
 from lanecost.functions.calendar import date_dimension, spanning_date_dimension
 from lanecost.functions.scalars import key_of_date
-from lanecost.schemas import SCHEMAS, SYNTHETIC, Star
+from lanecost.schemas import SCHEMAS, SYNTHETIC, TEXT_LIMITS, Star
 
 SHIPMENT_COLUMNS = tuple(SCHEMAS["fact_shipment"].fieldNames())
 
+# The four-part shipment id grows with the tables.
+SHIPMENT_TEXT_LIMITS = {"fact_shipment": TEXT_LIMITS["fact_shipment"] | {"shipment_id": 80}}
+
 _BY_MODE = {"planned_mode", "actual_mode"}
 _BY_DATE = {"promised_delivery_date", "delay_reason"}
 _BY_RATE = {"baseline_rate_inr_kg", "baseline_fuel_inr", "modeled_baseline_inr"}

@@ -158,3 +158,158 @@ MEASURE = {
 
 def measure_list(names) -> str:
     return ", ".join(f"{MEASURE[n]} AS {n}" for n in names)
+
+# Shipments with the known faults: weight -> column and value.
+FAULTS = {
+    50: ("weight_kg", "CAST(-10 AS DECIMAL(12,2))"),
+    49: ("actual_mode", "'Teleport'"),
+    48: ("expedited_flag", "9"),
+    47: ("modeled_baseline_inr", "CAST(1 AS DECIMAL(16,2))"),
+    46: ("base_freight_inr", "CAST(-1 AS DECIMAL(16,2))"),
+    45: ("fuel_surcharge_inr", "NULL"),
+    44: ("actual_delivery_date", "DATE '1994-12-31'"),
+    43: ("promised_delivery_date", "DATE '1994-12-31'"),
+    42: ("data_type", "'REAL'"),
+    41: ("delay_reason", "CASE WHEN delay_reason='None' THEN 'Weather' ELSE 'None' END"),
+    40: ("carrier_id", "carrier_id+1000000000"),
+    39: ("baseline_rate_inr_kg", "CAST(0 AS DECIMAL(12,2))"),
+    38: ("ship_date_key", "99999999"),
+    37: ("customer_id", "NULL"),
+    36: ("planned_mode", "'A mode with a long name'"),
+}
+FAULTY = (
+    "faulty AS (SELECT * REPLACE ("
+    + ", ".join(
+        f"CASE WHEN weight_kg={w} THEN {value} ELSE {column} END AS {column}"
+        for w, (column, value) in FAULTS.items()
+    )
+    + ") FROM fact_shipment)"
+)
+
+
+def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
+    """Every row rule of the shipments as one UNION ALL."""
+    sid = "shipment_id"
+
+    def about(text: str) -> str:
+        return f"{sid} || ': {text}'"
+
+    expected = (
+        "CAST(ROUND(weight_kg*baseline_rate_inr_kg,2)+baseline_fuel_inr+baseline_handling_inr"
+        " AS DECIMAL(18,2))"
+    )
+    charges = "base_freight_inr+fuel_surcharge_inr+handling_charge_inr+expedite_fee_inr"
+    rules = []
+    for rule, columns in (
+        (
+            "C5",
+            "base_freight_inr fuel_surcharge_inr handling_charge_inr expedite_fee_inr "
+            "recorded_freight_inr",
+        ),
+        (
+            "C11",
+            "baseline_rate_inr_kg baseline_fuel_inr baseline_handling_inr modeled_baseline_inr",
+        ),
+    ):
+        for c in columns.split():
+            rules.append(
+                (rule, c, f"{c} IS NULL OR {c}<0", about(f"{c} must be finite and non-negative"))
+            )
+    rules.append(
+        (
+            "C6",
+            "ship_date_key",
+            "NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key=f.ship_date_key)",
+            about("unknown ship_date_key"),
+        )
+    )
+    for c in ("promised_delivery_date", "actual_delivery_date"):
+        early = (
+            f"{c} < (SELECT MAX(calendar_date) FROM dim_date d WHERE d.date_key=f.ship_date_key)"
+        )
+        rules.append(("C7", c, early, about(f"{c} cannot be before dispatch")))
+    rules.append(
+        ("C8", "weight_kg", "weight_kg<=0", about("weight_kg must be a finite positive number"))
+    )
+    for c in ("planned_mode", "actual_mode"):
+        bad = f"{c} IS NULL OR {c} NOT IN ('Road','Sea','Air')"
+        rules.append(("C9", c, bad, f"{sid} || ': invalid {c}: ' || COALESCE({c},'None')"))
+    rules += [
+        (
+            "C10",
+            "expedited_flag",
+            "expedited_flag NOT IN (0,1)",
+            about("expedited_flag must be 0 or 1"),
+        ),
+        (
+            "C12",
+            "modeled_baseline_inr",
+            "baseline_rate_inr_kg=0 OR modeled_baseline_inr=0",
+            about("baseline rate and total must be positive"),
+        ),
+        (
+            "C13",
+            "modeled_baseline_inr",
+            f"modeled_baseline_inr<>{expected}",
+            f"{sid} || ': baseline mismatch; expected ' || CAST({expected} AS VARCHAR)"
+            " || ', found ' || CAST(modeled_baseline_inr AS VARCHAR)",
+        ),
+    ]
+    for c, dim in (
+        ("customer_id", "dim_customer"),
+        ("carrier_id", "dim_carrier"),
+        ("route_id", "dim_route"),
+    ):
+        rules.append(
+            (
+                "C14",
+                c,
+                f"NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{c}=f.{c})",
+                f"'Unknown {c}: ' || COALESCE(CAST({c} AS VARCHAR),'None')",
+            )
+        )
+    rules += [
+        (
+            "C15",
+            "recorded_freight_inr",
+            f"{charges}<>recorded_freight_inr",
+            f"'Invoice mismatch for ' || {sid}",
+        ),
+        (
+            "C16",
+            "delay_reason",
+            f"{LATE} AND delay_reason='None'",
+            f"'Missing delay reason for ' || {sid}",
+        ),
+        (
+            "C17",
+            "delay_reason",
+            f"{ON_TIME} AND delay_reason<>'None'",
+            f"'Unexpected delay reason for ' || {sid}",
+        ),
+        (
+            "C18",
+            "data_type",
+            "data_type<>'SYNTHETIC'",
+            f"'Non-synthetic row detected: ' || {sid}",
+        ),
+        (
+            "C30",
+            "planned_mode",
+            "length(planned_mode)>10",
+            "'fact_shipment.planned_mode is longer than 10'",
+        ),
+        (
+            "C30",
+            "shipment_id",
+            f"length(shipment_id)>{shipment_id_limit}",
+            f"'fact_shipment.shipment_id is longer than {shipment_id_limit}'",
+        ),
+    ]
+    for c in ("customer_id", "fuel_surcharge_inr"):
+        rules.append(("C23", c, f"{c} IS NULL", f"'fact_shipment.{c} must not be null'"))
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {sid} AS row_key, '{rule}' AS rule, "
+        f"'{column}' AS column_name, {message} AS message FROM {source} f WHERE {bad}"
+        for rule, column, bad, message in rules
+    )
