@@ -13,7 +13,7 @@ from lanecost.functions.calendar import auto_calendar
 from lanecost.functions.scalars import count_where
 from lanecost.functions.shipments import is_late
 from lanecost.operators import rules
-from lanecost.operators.convert import accepted, convert, rejects
+from lanecost.operators.convert import convert
 from lanecost.operators.drill import ROLES, drill_down
 from lanecost.operators.fingerprints import file_fingerprints
 from lanecost.operators.fingerprints import table_fingerprint as fingerprint
@@ -700,7 +700,7 @@ def csv_scan_roundtrip(spark, sf_dir):
     path = f"{shared_folder(spark, 'csv')}/fact_shipment.csv"
     write_csv(fact.select(*reversed(fact.columns)), path)
     text = require_well_formed(scan_csv(spark, path, fact.columns), "fact_shipment.csv")
-    return accepted(convert(text, "fact_shipment", fact.schema))
+    return convert(text, "fact_shipment", fact.schema).accepted()
 
 
 _TEXT_FAULTS = (
@@ -739,7 +739,7 @@ def csv_rejects(spark, sf_dir):
     path = f"{shared_folder(spark, 'csv')}/fact_shipment.csv"
     write_csv(as_text_with_faults(fact), path)
     text = require_well_formed(scan_csv(spark, path, fact.columns), "fact_shipment.csv")
-    found = rejects(convert(text, "fact_shipment", fact.schema), "fact_shipment")
+    found = convert(text, "fact_shipment", fact.schema).rejects()
     # A blank may be read as an empty or a missing value.
     return found.withColumn("raw", F.nullif("raw", F.lit("")))
 

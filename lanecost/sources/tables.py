@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecost.operators.convert import accepted, convert, rejects
+from lanecost.operators.convert import convert
 from lanecost.schemas import SCHEMAS, TABLES, Star
 from lanecost.sources.csv_files import require_well_formed, scan_csv
 
@@ -42,6 +42,6 @@ def tables_from_csv(spark: SparkSession, root: str) -> tuple[dict, dict]:
         columns = SCHEMAS[table].fieldNames()
         scanned = scan_csv(spark, f"{root}/{table}.csv", columns)
         converted = convert(require_well_formed(scanned, f"{table}.csv"), table)
-        typed[table] = accepted(converted)
-        rejected[table] = rejects(converted, table)
+        typed[table] = converted.accepted()
+        rejected[table] = converted.rejects()
     return typed, rejected
