@@ -75,10 +75,10 @@ def shipment_analysis(spark, sf_dir):
 _MONTHLY = oracle.star("SELECT * FROM monthly ORDER BY year_month", oracle.MONTHLY)
 
 
-def _monthly(spark, sf_dir, trusted_keys=False):
+def _monthly(spark, sf_dir, trusted_keys=False, last_dispatch=False):
     keys = () if trusted_keys else _KEYS
     star = order_star(spark, sf_dir, {*views.MONTHLY_COLUMNS, *keys})
-    return views.monthly_logistics(star, trusted_keys)
+    return views.monthly_logistics(star, trusted_keys, last_dispatch)
 
 
 @register("monthly_logistics", _MONTHLY)
@@ -126,8 +126,7 @@ def monthly_growth(spark, sf_dir):
     ),
 )
 def monthly_growth_calendar(spark, sf_dir):
-    last = views.last_dispatch(order_star(spark, sf_dir, ["ship_date_key"]))
-    return views.monthly_growth_calendar(_monthly(spark, sf_dir), last)
+    return views.monthly_growth_calendar(_monthly(spark, sf_dir, last_dispatch=True))
 
 
 # --- headline figures ----------------------------------------------------------

@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 
 
 def sequential_ids(
-    df: DataFrame, order_by: str, tie_break: str, prefix: str = "SIM-", digits: int = 5
+    df: DataFrame,
+    order_by: str,
+    tie_break: str,
+    prefix: str = "SIM-",
+    digits: int = 5,
+    bucket_digits: int = 3,
 ) -> DataFrame:
     """Adds ``sequence_id``: ``prefix`` and the row's position, from 1, by
     ``order_by``. Rows with equal ``order_by`` follow the MD5 of ``tie_break``
     (unique per row), so the result does not depend on the order of the input.
 
     A position is the rows before its order value, plus the rows before its
-    bucket (the first hex digits of the MD5) within the value, plus the rank in
-    the bucket. Buckets split a value that holds a large part of all rows evenly;
-    only bucket sizes are ever ordered across buckets.
+    bucket within the value, plus the rank in the bucket. Buckets, the first
+    ``bucket_digits`` hex digits of the MD5, evenly split a value that holds a
+    large part of all rows; only their sizes are ever ordered across buckets.
     """
-    bucket_digits = 3
     hashed = df.withColumn("_hash", F.md5(F.col(tie_break).cast("string"))).withColumn(
         "_bucket", F.substring("_hash", 1, bucket_digits)
     )
@@ -35,21 +39,23 @@ def sequential_ids(
         ).alias("_before_value"),
     )
     within = Window.partitionBy(order_by).orderBy("_bucket")
-    offsets = sizes.select(
-        order_by,
-        "_bucket",
-        F.coalesce(
-            F.sum("_size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before_bucket"),
-    ).join(values, order_by)
+    preceding = F.sum("_size").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    buckets = sizes.select(
+        F.col(order_by).alias("_value"),
+        F.col("_bucket").alias("_of"),
+        F.coalesce(preceding, F.lit(0)).alias("_before_bucket"),
+    )
+    # Null-safe, so that rows without an order value are numbered too, first.
+    offsets = buckets.join(values, F.col("_value").eqNullSafe(F.col(order_by))).drop(order_by)
     rank = F.row_number().over(
         Window.partitionBy(order_by, "_bucket").orderBy("_hash", tie_break)
     )
     position = F.col("_before_value") + F.col("_before_bucket") + F.col("_rank")
     number = position.cast("string")
     padded = F.when(F.length(number) < digits, F.lpad(number, digits, "0")).otherwise(number)
+    same = F.col(order_by).eqNullSafe(F.col("_value")) & (F.col("_bucket") == F.col("_of"))
     return (
         hashed.withColumn("_rank", rank)
-        .join(offsets, [order_by, "_bucket"])
+        .join(offsets, same)
         .select(*df.columns, F.concat(F.lit(prefix), padded).alias("sequence_id"))
     )

@@ -58,14 +58,17 @@ def shipment_analysis(star: Star) -> DataFrame:
     )
 
 
-def monthly_logistics(star: Star, trusted_keys: bool = False) -> DataFrame:
+def monthly_logistics(
+    star: Star, trusted_keys: bool = False, last_dispatch: bool = False
+) -> DataFrame:
     """Totals and ratios per dispatch month.
 
     Like :func:`shipment_analysis` it leaves out shipments with an unknown key;
     semi joins do that without carrying any description. With ``trusted_keys``,
     for data that passed the foreign-key rules, those joins and the key columns
     they read are skipped. Either way shipments are first reduced to one row per
-    dispatch day, and only days meet the calendar.
+    dispatch day, and only days meet the calendar. ``last_dispatch`` adds the last
+    dispatch date of each month, for :func:`monthly_growth_calendar`.
     """
     fact = star.fact_shipment
     if not trusted_keys:
@@ -83,11 +86,16 @@ def monthly_logistics(star: Star, trusted_keys: bool = False) -> DataFrame:
         F.sum("expedite_fee_inr").alias("fees"),
         F.sum("expedited_flag").alias("expedited"),
     )
-    months = star.dim_date.select(F.col("date_key").alias("ship_date_key"), "year_month")
+    days = star.dim_date.select(
+        F.col("date_key").alias("ship_date_key"), "calendar_date", "year_month"
+    )
     month = (
-        daily.join(months, "ship_date_key")
+        daily.join(days, "ship_date_key")
         .groupBy("year_month")
-        .agg(*[F.sum(c).alias(c) for c in daily.columns[1:]])
+        .agg(
+            *[F.sum(c).alias(c) for c in daily.columns[1:]],
+            F.max("calendar_date").alias("last_dispatch_date"),
+        )
     )
 
     def money(name: str):
@@ -104,6 +112,7 @@ def monthly_logistics(star: Star, trusted_keys: bool = False) -> DataFrame:
         safe_ratio(F.col("on_time"), F.col("shipments")).alias("on_time_delivery_ratio"),
         money("fees").alias("expedite_fees_inr"),
         F.col("expedited").alias("expedited_shipments"),
+        *(["last_dispatch_date"] if last_dispatch else []),
     )
 
 
@@ -125,28 +134,16 @@ def monthly_growth(monthly: DataFrame) -> DataFrame:
     )
 
 
-def last_dispatch(star: Star) -> DataFrame:
-    """``year_month`` and the last dispatch date in it, for the partial-month flag."""
-    days = star.fact_shipment.select("ship_date_key").distinct()
-    calendar = star.dim_date.select(
-        F.col("date_key").alias("ship_date_key"), "calendar_date", "year_month"
-    )
-    return (
-        days.join(calendar, "ship_date_key")
-        .groupBy("year_month")
-        .agg(F.max("calendar_date").alias("last_dispatch_date"))
-    )
-
-
-def monthly_growth_calendar(monthly: DataFrame, last_dispatch: DataFrame) -> DataFrame:
+def monthly_growth_calendar(monthly: DataFrame) -> DataFrame:
     """Growth that is NULL unless the row before is the calendar month before,
-    and a flag on the last month when dispatches stop before its end."""
+    and a flag on the last month when dispatches stop before its end. Takes the
+    monthly view with ``last_dispatch``."""
     in_order = Window.orderBy("year_month")
     month = F.to_date(F.concat("year_month", F.lit("-01")))
     is_next = F.lag(month).over(in_order) == F.add_months(month, -1)
     ends_early = F.col("last_dispatch_date") < F.last_day("last_dispatch_date")
     is_last = F.lead("year_month").over(in_order).isNull()
-    rows = monthly.join(last_dispatch, "year_month", "left").select(
+    rows = monthly.select(
         "year_month",
         "recorded_freight_inr",
         F.when(is_next, F.lag("recorded_freight_inr").over(in_order)).alias(

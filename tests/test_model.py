@@ -71,6 +71,12 @@ def test_sequential_ids_equal_a_full_sort(spark):
     assert found == {r[0]: f"SIM-{n:05d}" for n, r in enumerate(ordered, 1)}
 
 
+def test_rows_without_an_order_value_come_first(spark):
+    df = spark.createDataFrame([("a", 5), ("b", None), ("c", 4)], "id string, day int")
+    found = {r.id: r.sequence_id for r in sequential_ids(df, "day", "id").collect()}
+    assert found == {"b": "SIM-00001", "c": "SIM-00002", "a": "SIM-00003"}
+
+
 def test_long_numbers_are_not_cut(spark):
     df = spark.range(12).select(F.col("id").cast("string"), F.lit(1).alias("day"))
     ids = {r.sequence_id for r in sequential_ids(df, "day", "id", "N", 1).collect()}

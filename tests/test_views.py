@@ -46,14 +46,13 @@ def test_growth_over_a_gap(spark):
             shipment(3, ship_date_key=20250410, recorded_freight_inr=Decimal("3000.00")),
         ],
     )
-    monthly = views.monthly_logistics(star)
+    monthly = views.monthly_logistics(star, last_dispatch=True)
     growth = {r["year_month"]: r for r in rows_of(views.monthly_growth(monthly))}
     assert growth["2025-01"]["freight_growth_ratio"] is None
     assert growth["2025-02"]["freight_growth_ratio"] == 0.5
     assert growth["2025-04"]["freight_growth_ratio"] == -0.5
 
-    calendar = views.monthly_growth_calendar(monthly, views.last_dispatch(star))
-    rows = {r["year_month"]: r for r in rows_of(calendar)}
+    rows = {r["year_month"]: r for r in rows_of(views.monthly_growth_calendar(monthly))}
     assert rows["2025-02"]["calendar_growth_ratio"] == 0.5
     assert rows["2025-04"]["calendar_growth_ratio"] is None
     assert [m for m, r in rows.items() if r["partial_month"]] == ["2025-04"]
@@ -61,8 +60,8 @@ def test_growth_over_a_gap(spark):
 
 def test_last_month_covered_to_its_end_is_not_partial(spark):
     star = star_of(spark, [shipment(1), shipment(2, ship_date_key=20250228)])
-    monthly = views.monthly_logistics(star)
-    rows = rows_of(views.monthly_growth_calendar(monthly, views.last_dispatch(star)))
+    monthly = views.monthly_logistics(star, last_dispatch=True)
+    rows = rows_of(views.monthly_growth_calendar(monthly))
     assert not any(r["partial_month"] for r in rows)
 
 
