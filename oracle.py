@@ -188,7 +188,7 @@ FAULTY = (
 
 
 def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
-    """Every row rule of the shipments as one UNION ALL."""
+    """Every row rule of the shipments, and the repeated keys, as one UNION ALL."""
     sid = "shipment_id"
 
     def about(text: str) -> str:
@@ -308,8 +308,13 @@ def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
     ]
     for c in ("customer_id", "fuel_surcharge_inr"):
         rules.append(("C23", c, f"{c} IS NULL", f"'fact_shipment.{c} must not be null'"))
-    return " UNION ALL ".join(
+    rows = " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, {sid} AS row_key, '{rule}' AS rule, "
         f"'{column}' AS column_name, {message} AS message FROM {source} f WHERE {bad}"
         for rule, column, bad, message in rules
     )
+    return (
+        f"{rows} UNION ALL SELECT '{table}', NULL, 'C3', '{sid}', "
+        f"'{table}.{sid} contains duplicates' FROM (SELECT COUNT(*) AS n, "
+        f"COUNT(DISTINCT {sid}) AS k FROM {source}) WHERE n>k"
+    )
