@@ -37,7 +37,8 @@ def drill_down(star: Star, role: str, names: Sequence[str]) -> DataFrame:
     else:
         day = F.to_date(F.col(column)).alias("day")
         daily = parts_by(star.fact_shipment, [day], names)
-    daily = daily.select(*drill_columns(F.col("day")), *[c for c in daily.columns if c not in (column, "day")])
+    parts = [c for c in daily.columns if c not in (column, "day")]
+    daily = daily.select(*drill_columns(F.col("day")), *parts)
     rolled = sum_parts(daily, daily.rollup(*DRILL_LEVELS), _level())
     return rolled.select("level", *DRILL_LEVELS, *measure_columns(names))
 

@@ -16,7 +16,11 @@ def _own_folder() -> str:
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which every executor can
-    reach. Only where the session names none, as in tests, a temporary folder of
-    this machine is used."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    reach. Only a local session that names none, as in tests, gets a temporary
+    folder of this machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
+        root = _own_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -72,7 +72,8 @@ def test_seed_keeps_present_rows(spark, store):
 
 
 def test_dimension_batch_leaves_shipments_alone(spark, store):
-    renamed = spark.createDataFrame([(2, "New name", "Industrial", "SYNTHETIC")], SCHEMAS["dim_customer"])
+    row = (2, "New name", "Industrial", "SYNTHETIC")
+    renamed = spark.createDataFrame([row], SCHEMAS["dim_customer"])
     load(store, {"dim_customer": renamed}, whole=False)
     names = {r.customer_id: r.customer_name for r in store.table("dim_customer").collect()}
     assert names == {1: "Customer 1", 2: "New name"}
@@ -139,7 +140,8 @@ def test_arriving_batches(spark, store, tmp_path):
 def test_upsert_and_insert_absent(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     batch = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
-    assert sorted(map(tuple, upsert(target, batch, "k").collect())) == [(1, "a"), (2, "B"), (3, "C")]
+    merged = sorted(map(tuple, upsert(target, batch, "k").collect()))
+    assert merged == [(1, "a"), (2, "B"), (3, "C")]
     again = upsert(upsert(target, batch, "k"), batch, "k")
     assert again.count() == 3
     kept = sorted(map(tuple, insert_absent(target, batch, "k").collect()))

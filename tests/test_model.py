@@ -127,3 +127,26 @@ def test_profile_and_upgrades(spark, tmp_path):
     }
     assert changed == {("Road", "Road"): False, ("Sea", "Air"): True}
     assert dimensions(spark)["dim_date"].count() == 365
+
+
+def test_shared_folder_follows_the_session(spark):
+    from lanecost.sources.folders import shared_folder
+
+    first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+    class Conf:
+        def get(self, key, default):
+            return self.value
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "yarn"
+
+    Conf.value = "hdfs:///shared/"
+    assert shared_folder(Session(), "x").startswith("hdfs:///shared/x-")
+    Conf.value = None
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(), "x")
