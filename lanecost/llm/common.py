@@ -23,6 +23,20 @@ def written(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, limit: int = 20_000) -> DataFrame:
+    """A table marked for broadcast if it is counted to have at most ``limit`` rows;
+    otherwise left to Spark's own choice of join."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def utf8(text: Column) -> Column:
     """The bytes of a text, none for a null."""
     return F.encode(F.coalesce(text, F.lit("")), "UTF-8")

@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecost.llm import chat, packing, sharding
+from lanecost.llm import chat, packing, quality, rules, sharding
 from lanecost.llm.common import table
 from lanecost.llm.sql import CHAT, SHARDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return rules.judged(docs, drop=("text",))
+
+
+def op5_trusted_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.judged(docs, table(spark, sf_dir, "labels"), drop=("text",))
+
+
 def op7_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -28,6 +38,8 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_perplexity_bands": op3_perplexity_bands,
+    "op5_trusted_perplexity": op5_trusted_perplexity,
     "op7_chat_perspectives": op7_chat_perspectives,
     "op8_length_buckets": op8_length_buckets,
     "op9_jump_shards": op9_jump_shards,
