@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecost.llm import chat, packing, quality, rules, sharding
+from lanecost.llm import chat, packing, pii, quality, rules, sharding
 from lanecost.llm.common import table
 from lanecost.llm.sql import CHAT, SHARDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op3_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return rules.judged(docs, drop=("text",))
@@ -38,6 +42,7 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_weak_supervision_pii": op1_weak_supervision_pii,
     "op3_perplexity_bands": op3_perplexity_bands,
     "op5_trusted_perplexity": op5_trusted_perplexity,
     "op7_chat_perspectives": op7_chat_perspectives,
