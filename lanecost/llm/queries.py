@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecost.llm import chat, packing, pii, quality, rules, sharding
+from lanecost.llm import chat, huffman, packing, pieces, pii, quality, rules, sharding
 from lanecost.llm.common import table
 from lanecost.llm.sql import CHAT, SHARDS
 
+PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -18,6 +27,17 @@ def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op2_distinct_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary(PIECES)
+    rows = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model, drop=("text",))
+    return pieces.decode(rows, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return rules.judged(docs, drop=("text",))
@@ -36,6 +56,10 @@ def op8_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.round_trip(table(spark, sf_dir, "documents"), vocabulary(BYTES), end=2)
+
+
 def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(table(spark, sf_dir, "documents"), shards=40)
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -43,11 +67,13 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_weak_supervision_pii": op1_weak_supervision_pii,
+    "op2_distinct_chunks": op2_distinct_chunks,
     "op3_perplexity_bands": op3_perplexity_bands,
     "op5_trusted_perplexity": op5_trusted_perplexity,
     "op7_chat_perspectives": op7_chat_perspectives,
     "op8_length_buckets": op8_length_buckets,
     "op9_jump_shards": op9_jump_shards,
+    "op10_huffman_ids": op10_huffman_ids,
 }
 
 SQL: dict[str, str] = {
