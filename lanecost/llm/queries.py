@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecost.llm import chat, huffman, packing, pieces, pii, quality, rules, sharding
+from lanecost.llm import chat, huffman, minhash, packing, pieces, pii, quality, rules, sharding
 from lanecost.llm.common import table
 from lanecost.llm.sql import CHAT, SHARDS
 
@@ -43,6 +43,10 @@ def op3_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(docs, drop=("text",))
 
 
+def op4_forest_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_trusted_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.judged(docs, table(spark, sf_dir, "labels"), drop=("text",))
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_weak_supervision_pii": op1_weak_supervision_pii,
     "op2_distinct_chunks": op2_distinct_chunks,
     "op3_perplexity_bands": op3_perplexity_bands,
+    "op4_forest_duplicates": op4_forest_duplicates,
     "op5_trusted_perplexity": op5_trusted_perplexity,
     "op7_chat_perspectives": op7_chat_perspectives,
     "op8_length_buckets": op8_length_buckets,
