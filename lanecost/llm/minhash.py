@@ -18,11 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lanecost.llm.common import written
+from lanecost.llm.common import fresh, written
 from lanecost.llm.words import word_ids
 
 WORDS = 5
@@ -295,3 +295,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ne
         component.alias("component_id"),
         component.eqNullSafe(F.col("key")).alias("kept"),
     )
+
+
+def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", neighbours: int = NEIGHBOURS) -> DataFrame:
+    """One document of every component, that with the smallest key, with its own
+    columns. Of rows with one key the first by text stays. Rows with a null key stay."""
+    chosen = near_duplicates(docs, key, text, neighbours).where(F.col("kept") & F.col(key).isNotNull()).select(key)
+    nth = fresh(docs, "nth")
+    named = docs.where(F.col(key).isNotNull()).join(chosen, key, "left_semi")
+    one = named.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(text))).where(F.col(nth) == 1)
+    return one.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecost.llm import chat, huffman, minhash, packing, pieces, pii, quality, rules, sharding
+from lanecost.llm import chat, forest, huffman, minhash, packing, pieces, pii, quality, rules, sharding
 from lanecost.llm.common import table
 from lanecost.llm.sql import CHAT, SHARDS
 
@@ -52,6 +52,10 @@ def op5_trusted_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, table(spark, sf_dir, "labels"), drop=("text",))
 
 
+def op6_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, k=20)
+
+
 def op7_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op3_perplexity_bands": op3_perplexity_bands,
     "op4_forest_duplicates": op4_forest_duplicates,
     "op5_trusted_perplexity": op5_trusted_perplexity,
+    "op6_projection_forest": op6_projection_forest,
     "op7_chat_perspectives": op7_chat_perspectives,
     "op8_length_buckets": op8_length_buckets,
     "op9_jump_shards": op9_jump_shards,
