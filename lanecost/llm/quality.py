@@ -17,8 +17,14 @@ from lanecost.llm.common import few, fresh, written
 PRIOR = 400
 """Symbols at the language's median that are added to every text before judging: a
 text of a few words is judged by few observations and drawn to the middle."""
-SHARE = 0.99
-SLACK = 2.0
+SHARE = 0.75
+SLACK = 12.0
+LEAST_SPREAD = 0.015
+"""A threshold is no nearer to the median than ``SLACK`` times this, however alike the
+few held-out texts of a language are."""
+FOLDS = 5
+"""One in so many trusted texts is not learned from: thresholds come from these, as the
+texts that are to be judged were not learned from either."""
 TRUSTED_IDS = 2_000_000
 """Trusted ids are broadcast up to so many (8 bytes each) and joined beyond."""
 
@@ -46,8 +52,9 @@ def judged(
 ) -> DataFrame:
     """The rows of ``docs`` with log_perplexity (per symbol, smoothed), threshold and kept.
 
-    A language's threshold is its trusted documents' median log perplexity plus ``SLACK``
-    times the distance to their ``SHARE`` quantile. A document is kept if it does not
+    A language's threshold is the median log perplexity of its trusted documents that
+    were held out, plus ``SLACK`` times the distance to their ``SHARE`` quantile. Copies of
+    a text are held out together, and the distance is at least ``LEAST_SPREAD``. A document is kept if it does not
     exceed it. Null and empty texts have no perplexity and are not kept. A null language
     is one named ''; documents of a language without trusted text are not judged: kept,
     threshold null. So are all, without labels. Repeated rows are judged alike; a
@@ -56,8 +63,10 @@ def judged(
     ids = few(trusted_ids(labels, key, label), TRUSTED_IDS)
     marked = fresh(docs, "trusted")
     data = docs.join(ids, docs[key] == ids["_trusted"], "left").withColumn(marked, F.col("_trusted").isNotNull())
-    data = data.drop("_trusted")
-    counts = written(ngrams.gram_counts(data, text, language, F.col(marked)), "grams")
+    held = fresh(docs, "held_out")
+    out = F.pmod(F.xxhash64(text), F.lit(FOLDS)) == 0
+    data = data.withColumn(held, F.col(marked) & out).drop("_trusted")
+    counts = written(ngrams.gram_counts(data, text, language, F.col(marked) & ~F.col(held)), "grams")
     scores = written(ngrams.gram_scores(counts), "scores")
     known = written(counts.where(F.col("n") > 0).select(F.col("language").alias("_known")).distinct(), "languages")
     raw = fresh(data, "raw_score")
@@ -69,14 +78,14 @@ def judged(
     spoken = F.coalesce(F.col(language).cast("string"), F.lit(""))
     named = fresh(found, "spoken")
     rows = found.withColumn(named, spoken)
-    middle = ngrams.quantiles(rows.where(F.col(marked)), named, raw, {"_middle": 0.5}).select(named, "_middle")
+    middle = ngrams.quantiles(rows.where(F.col(held)), named, raw, {"_middle": 0.5}).select(named, "_middle")
     rows = rows.join(few(written(middle, "medians")), named, "left")
     value = smoothed(F.col(raw), F.col(symbols), F.coalesce(F.col("_middle"), F.col(raw)))
     log_perplexity, threshold, kept = names
     rows = rows.withColumn(log_perplexity, value)
-    limits = ngrams.quantiles(rows.where(F.col(marked)), named, log_perplexity, {"_half": 0.5, "_most": SHARE})
+    limits = ngrams.quantiles(rows.where(F.col(held)), named, log_perplexity, {"_half": 0.5, "_most": SHARE})
     limits = limits.join(known, limits[named] == known["_known"]).select(
-        named, (F.col("_half") + SLACK * (F.col("_most") - F.col("_half"))).alias(threshold)
+        named, (F.col("_half") + SLACK * F.greatest(F.col("_most") - F.col("_half"), F.lit(LEAST_SPREAD))).alias(threshold)
     )
     rows = rows.join(few(written(limits, "thresholds")), named, "left")
     keep = F.col(raw).isNotNull() & (F.col(threshold).isNull() | (F.col(log_perplexity) <= F.col(threshold)))

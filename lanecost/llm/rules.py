@@ -25,7 +25,7 @@ MOST_REPEATED_PERCENT = 50
 
 WIDTH = 12.0
 """The band reaches this many times the distance from the median to the quartiles."""
-ARRAY_GRAMS = 500_000
+ARRAY_GRAMS = 50_000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
