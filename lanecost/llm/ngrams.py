@@ -136,12 +136,13 @@ def _discounts(learned: list[DataFrame]) -> DataFrame:
         x.groupBy("language").agg(*n, F.count("*").alias("symbols")).withColumn("order", F.lit(ORDER - i))
         for i, x in enumerate(learned)
     ]
-    share = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    share = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1))
 
     def discount(i: int) -> Column:
         here, more = F.col(f"n{i}"), F.col(f"n{i + 1}")
-        found = F.when((F.col("n1") > 0) & (here > 0), i - (i + 1) * share * more / F.when(here > 0, here))
-        return F.coalesce(F.least(F.greatest(found, F.lit(0.05)), F.lit(float(i))), F.lit(0.25 + 0.25 * i))
+        found = i - (i + 1) * share * more / F.when(here > 0, here)
+        bounded = F.least(F.greatest(found, F.lit(0.05)), F.lit(float(i)))
+        return F.when((F.col("n1") > 0) & (here > 0), bounded).otherwise(F.lit(0.25 + 0.25 * i))
 
     found = reduce(DataFrame.unionByName, parts)
     return found.select("language", "order", "symbols", *(discount(i).alias(f"d{i}") for i in (1, 2, 3)))

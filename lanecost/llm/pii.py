@@ -377,16 +377,14 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
         new = F.when(s["start"] >= a["at"], F.concat(a["done"], gap, F.element_at(kinds, s["rank"] + 1)))
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), new.otherwise(a["done"]).alias("done"))
 
-    walked = F.aggregate(name, start, step)
-    tail = F.substring(F.col(text), walked["at"] + 1, F.length(text))
+    walk, cleaned = fresh(rows, "pii_walk"), fresh(rows, "pii_cleaned")
+    tail = F.substring(F.col(text), F.col(walk)["at"] + 1, F.length(text))
     changed = F.size(name) > 0
-    cleaned = F.when(changed, F.concat(walked["done"], tail)).otherwise(F.col(text))
-    out = []
-    for c in docs.columns:
-        if c == text:
-            out.append(cleaned.alias(c))
-        elif c == length:
-            out.append(F.when(changed, F.length(cleaned)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
-        else:
-            out.append(F.col(c))
-    return rows.select(*out)
+    rows = rows.withColumn(walk, F.aggregate(name, start, step))
+    rows = rows.withColumn(cleaned, F.when(changed, F.concat(F.col(walk)["done"], tail)).otherwise(F.col(text)))
+    out = {c: F.col(c) for c in docs.columns}
+    if length in out:
+        new = F.when(changed, F.length(cleaned)).otherwise(F.col(length))
+        out[length] = new.cast(docs.schema[length].dataType)
+    out[text] = F.col(cleaned)
+    return rows.select(*(value.alias(c) for c, value in out.items()))
