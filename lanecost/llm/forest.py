@@ -278,7 +278,7 @@ def nearest(
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 data = _vectors(part.column("vector"), dims)
-                data *= longest / np.linalg.norm(data, axis=1)[:, None]
+                data = data * (longest / np.linalg.norm(data, axis=1)[:, None])
                 margins = data.astype(np.float32) @ trees_of.normals[:, :-1].T - trees_of.offsets
                 found = [trees_of.search(m, sent.value, enough) for m in margins]
                 at = np.repeat(np.arange(len(found)), [len(f) for f in found])
