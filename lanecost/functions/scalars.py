@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,9 +26,15 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def percent_2dp(part: Column, whole: Column) -> Column:
-    """``100 * part / whole`` rounded half up to two places, in DECIMAL throughout."""
-    scaled = (part.cast("decimal(26,2)") * F.lit(100)).cast("decimal(31,2)")
-    return F.round(F.try_divide(scaled, whole.cast("decimal(26,2)")), 2).cast("decimal(18,2)")
+    """``100 * part / whole`` rounded half up, away from zero, to two places. Rounded
+    once: the quotient is taken in whole hundredths, from whole numbers."""
+    a = (part.cast("decimal(26,2)") * 100).cast("decimal(28,0)")
+    b = (whole.cast("decimal(26,2)") * 100).cast("decimal(28,0)")
+    doubled = (F.abs(a) * 20_000 + F.abs(b)).cast("decimal(34,0)")
+    hundredths = F.call_function("div", doubled, F.nullif(F.abs(b) * 2, F.lit(0).cast("decimal(29,0)")))
+    negative = (a < 0) != (b < 0)
+    signed = F.when(negative, -hundredths).otherwise(hundredths)
+    return (signed.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
 
 
 def round_money(value: Column) -> Column:

@@ -25,6 +25,9 @@ from lanecost.functions.shipments import (
 )
 from lanecost.schemas import FOREIGN_KEYS, SCHEMAS, Star
 
+MONTH = "ship_month"
+"""Column by which stored shipments are partitioned, where they come from a store."""
+
 _DELIVERY = ("promised_delivery_date", "actual_delivery_date")
 
 # Columns whose default summary is their sum.
@@ -169,7 +172,12 @@ def where_members(star: Star, filters: Mapping[str, Iterable] | None) -> DataFra
         if label in _LABELS:
             key = _LABELS[label]
             members = _members(star, key, [label]).where(F.col(label).isin(values))
-            fact = fact.join(members.select(key), key, "left_semi")
+            on = [key]
+            if key == "ship_date_key" and MONTH in fact.columns:
+                # Stored shipments are partitioned by month: joined on as well, it prunes.
+                members = members.withColumn(MONTH, F.expr("CAST(ship_date_key DIV 100 AS INT)"))
+                on.append(MONTH)
+            fact = fact.join(members.select(*on), on, "left_semi")
         else:
             fact = fact.where(F.col(label).isin(values))
     return fact
@@ -204,7 +212,8 @@ def measures(
 
     ``by`` takes shipment columns and dimension labels. Shipments whose key is
     unknown stay, under a NULL label. Members with equal labels are one group.
-    ``dense`` adds the members of a single dimension that have no shipment.
+    ``dense`` adds the members of a single dimension that have no shipment, of those
+    that the filters on this dimension leave.
     """
     by = list(by)
     unknown = [n for n in names if n not in MEASURES]
@@ -223,6 +232,10 @@ def measures(
             grouped = grouped.join(members, key, "left")
         grouped = sum_parts(grouped, grouped.groupBy(*by))
     if dense:
-        members = _members(star, keys[0], by).select(*by).distinct()
+        chosen = {c: list(v) for c, v in (filters or {}).items() if v and _LABELS.get(c) == keys[0]}
+        members = _members(star, keys[0], list(dict.fromkeys([*by, *chosen])))
+        for label, values in chosen.items():
+            members = members.where(F.col(label).isin(values))
+        members = members.select(*by).distinct()
         grouped = members.join(grouped, by, "full")
     return grouped.select(*by, *measure_columns(names))

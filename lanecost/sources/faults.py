@@ -6,25 +6,32 @@ up stands for one kind of fault, so about a third of all rows gets one.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lanecost.schemas import Star
 
 # Weight -> (column, SQL of its faulty value).
 FAULTS = {
-    50: ("weight_kg", "CAST(-10 AS DECIMAL(12,2))"),
-    49: ("actual_mode", "'Teleport'"),
-    48: ("expedited_flag", "9"),
-    47: ("modeled_baseline_inr", "CAST(1 AS DECIMAL(16,2))"),
-    46: ("base_freight_inr", "CAST(-1 AS DECIMAL(16,2))"),
+    50: ("weight_kg", "CAST(0 AS DECIMAL(12,2))"),
+    49: ("actual_mode", "'Rail'"),
+    48: ("expedited_flag", "2"),
+    47: ("modeled_baseline_inr", "CAST(7.77 AS DECIMAL(16,2))"),
+    46: ("base_freight_inr", "CAST(-0.01 AS DECIMAL(16,2))"),
     45: ("fuel_surcharge_inr", "CAST(NULL AS DECIMAL(16,2))"),
-    44: ("actual_delivery_date", "DATE '1994-12-31'"),
-    43: ("promised_delivery_date", "DATE '1994-12-31'"),
-    42: ("data_type", "'REAL'"),
+    44: ("actual_delivery_date", "DATE '1990-02-28'"),
+    43: ("promised_delivery_date", "DATE '1990-02-28'"),
+    42: ("data_type", "'MEASURED'"),
     41: ("delay_reason", "CASE WHEN delay_reason = 'None' THEN 'Weather' ELSE 'None' END"),
     40: ("carrier_id", "carrier_id + 1000000000"),
     39: ("baseline_rate_inr_kg", "CAST(0 AS DECIMAL(12,2))"),
     38: ("ship_date_key", "99999999"),
     37: ("customer_id", "CAST(NULL AS BIGINT)"),
     36: ("planned_mode", "'A mode with a long name'"),
+    35: ("baseline_fuel_inr", "CAST(-3 AS DECIMAL(16,2))"),
+    34: ("shipment_id", "' '"),
 }
 
 
@@ -37,6 +44,43 @@ def with_faults(fact: DataFrame) -> DataFrame:
     return fact.selectExpr(*[faulty.get(c, c) for c in fact.columns])
 
 
+def with_gaps(fact: DataFrame) -> DataFrame:
+    """Shipments with missing dates, ids and markers, baselines of zero, repeated ids,
+    and every fourth month left out; of the columns there are."""
+    gaps = {
+        "actual_delivery_date": "IF(weight_kg IN (50, 3), NULL, actual_delivery_date)",
+        "promised_delivery_date": "IF(weight_kg IN (49, 3), NULL, promised_delivery_date)",
+        "modeled_baseline_inr": "IF(route_id % 7 = 0, CAST(0 AS DECIMAL(16,2)), modeled_baseline_inr)",
+        "data_type": "CASE weight_kg WHEN 48 THEN ' synthetic ' WHEN 47 THEN NULL "
+        "WHEN 46 THEN 'MEASURED' ELSE data_type END",
+        "shipment_id": "CASE weight_kg WHEN 45 THEN NULL WHEN 44 THEN 'again' ELSE shipment_id END",
+    }
+    kept = fact.where("ship_date_key DIV 100 % 4 <> 2")
+    return kept.selectExpr(*[f"{gaps[c]} AS {c}" if c in gaps else c for c in fact.columns])
+
+
+def with_dimension_faults(star: Star) -> Star:
+    """The star with faulty rows in its dimensions: markers, rates, months, quarters,
+    a missing text, and repeated keys and days."""
+    customer = star.dim_customer.unionByName(star.dim_customer.where("customer_id % 500 = 1"))
+    carrier = star.dim_carrier.selectExpr(
+        "carrier_id",
+        "IF(carrier_id % 9 = 1, NULL, carrier_name) AS carrier_name",
+        "IF(carrier_id % 7 = 1, 'MEASURED', data_type) AS data_type",
+    )
+    route = star.dim_route.withColumn(
+        "rate_factor", F.expr("CAST(IF(route_id % 10 = 3, -rate_factor, rate_factor) AS DECIMAL(5,2))")
+    )
+    date = star.dim_date.withColumns(
+        {
+            "month_number": F.expr("IF(date_key % 10000 = 229, 13, month_number)"),
+            "quarter_number": F.expr("IF(date_key % 10000 = 229, 0, quarter_number)"),
+            "calendar_date": F.expr("IF(date_key % 10000 = 229, date_add(calendar_date, 1), calendar_date)"),
+        }
+    )
+    return replace(star, dim_customer=customer, dim_carrier=carrier, dim_route=route, dim_date=date)
+
+
 # Text values that the typed conversion has to refuse, strip or pass on.
 TEXT_FAULTS = {
     50: ("weight_kg", "''"),

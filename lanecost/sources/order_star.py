@@ -29,8 +29,7 @@ _BY_MODE = {"planned_mode", "actual_mode"}
 _BY_DATE = {"promised_delivery_date", "delay_reason"}
 _BY_RATE = {"baseline_rate_inr_kg", "baseline_fuel_inr", "modeled_baseline_inr"}
 
-# Days known to the dispatch calendar; far wider than any data, small enough to
-# be planned as a broadcast from its size alone.
+# Days always in the dispatch calendar. Data outside adds its years, see dates().
 CALENDAR_SPAN = ("1970-01-01", "2069-12-31")
 
 
@@ -221,10 +220,21 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dates(spark: SparkSession) -> DataFrame:
-    """Dispatch calendar for joins. Its span is fixed, so no query has to scan
-    the line items for the first and last day."""
-    return date_dimension(spark, *CALENDAR_SPAN)
+def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dispatch calendar for joins: the usual span, and all years from the first to the
+    last one in which something was shipped. Parquet statistics answer whether there is
+    any outside the span; the line items themselves are only read if so."""
+    first, last = CALENDAR_SPAN
+    shipped = F.col("l_shipdate").cast("date")
+    outside = source(spark, sf_dir, "lineitem").where(
+        (F.col("l_shipdate") < F.lit(f"{first}").cast("timestamp_ntz"))
+        | (F.col("l_shipdate") >= F.lit(f"{int(last[:4]) + 1}-01-01").cast("timestamp_ntz"))
+    )
+    years = outside.agg(F.min(F.year(shipped)), F.max(F.year(shipped))).head()
+    if years[0] is not None:
+        first = f"{min(years[0], int(first[:4])):04d}-01-01"
+        last = f"{max(years[1], int(last[:4])):04d}-12-31"
+    return date_dimension(spark, first, last)
 
 
 def observed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +248,7 @@ def order_star(
     """The star over one directory of order tables."""
     return Star(
         fact_shipment=shipments(spark, sf_dir, columns),
-        dim_date=dates(spark),
+        dim_date=dates(spark, sf_dir),
         dim_customer=customers(spark, sf_dir),
         dim_carrier=carriers(spark, sf_dir),
         dim_route=routes(spark, sf_dir),

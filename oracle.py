@@ -65,8 +65,8 @@ dim_route AS (SELECT CAST(a.n_nationkey*100+b.n_nationkey AS INT) AS route_id,
   CASE WHEN a.n_regionkey=b.n_regionkey THEN 'Domestic' ELSE 'Export' END AS route_type,
   CAST(0.8+0.2*b.n_regionkey AS DECIMAL(5,2)) AS rate_factor, 'SYNTHETIC' AS data_type
   FROM nation a CROSS JOIN nation b JOIN region r ON b.n_regionkey=r.r_regionkey),
-days AS (SELECT CAST(x AS DATE) AS day FROM
-  generate_series(TIMESTAMP '1970-01-01', TIMESTAMP '2069-12-31', INTERVAL 1 DAY) g(x)),
+days AS (SELECT CAST(unnest(generate_series(make_date(least(MIN(year(l_shipdate)),1970),1,1),
+  make_date(greatest(MAX(year(l_shipdate)),2069),12,31), INTERVAL 1 DAY)) AS DATE) AS day FROM lineitem),
 dim_date AS (SELECT CAST(strftime(day,'%Y%m%d') AS INT) AS date_key, day AS calendar_date,
   CAST(year(day) AS INT) AS calendar_year, CAST(month(day) AS INT) AS month_number,
   strftime(day,'%B') AS month_name, strftime(day,'%Y-%m') AS year_month,
@@ -161,21 +161,23 @@ def measure_list(names) -> str:
 
 # Shipments with the known faults: weight -> column and value.
 FAULTS = {
-    50: ("weight_kg", "CAST(-10 AS DECIMAL(12,2))"),
-    49: ("actual_mode", "'Teleport'"),
-    48: ("expedited_flag", "9"),
-    47: ("modeled_baseline_inr", "CAST(1 AS DECIMAL(16,2))"),
-    46: ("base_freight_inr", "CAST(-1 AS DECIMAL(16,2))"),
+    50: ("weight_kg", "CAST(0 AS DECIMAL(12,2))"),
+    49: ("actual_mode", "'Rail'"),
+    48: ("expedited_flag", "2"),
+    47: ("modeled_baseline_inr", "CAST(7.77 AS DECIMAL(16,2))"),
+    46: ("base_freight_inr", "CAST(-0.01 AS DECIMAL(16,2))"),
     45: ("fuel_surcharge_inr", "NULL"),
-    44: ("actual_delivery_date", "DATE '1994-12-31'"),
-    43: ("promised_delivery_date", "DATE '1994-12-31'"),
-    42: ("data_type", "'REAL'"),
+    44: ("actual_delivery_date", "DATE '1990-02-28'"),
+    43: ("promised_delivery_date", "DATE '1990-02-28'"),
+    42: ("data_type", "'MEASURED'"),
     41: ("delay_reason", "CASE WHEN delay_reason='None' THEN 'Weather' ELSE 'None' END"),
     40: ("carrier_id", "carrier_id+1000000000"),
     39: ("baseline_rate_inr_kg", "CAST(0 AS DECIMAL(12,2))"),
     38: ("ship_date_key", "99999999"),
     37: ("customer_id", "NULL"),
     36: ("planned_mode", "'A mode with a long name'"),
+    35: ("baseline_fuel_inr", "CAST(-3 AS DECIMAL(16,2))"),
+    34: ("shipment_id", "' '"),
 }
 FAULTY = (
     "faulty AS (SELECT * REPLACE ("
@@ -187,7 +189,21 @@ FAULTY = (
 )
 
 
-def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
+GAPS = """gaps AS (SELECT * REPLACE (
+  CASE WHEN weight_kg IN (50,3) THEN NULL ELSE actual_delivery_date END AS actual_delivery_date,
+  CASE WHEN weight_kg IN (49,3) THEN NULL ELSE promised_delivery_date END AS promised_delivery_date,
+  CASE WHEN route_id%7=0 THEN CAST(0 AS DECIMAL(16,2)) ELSE modeled_baseline_inr END
+    AS modeled_baseline_inr,
+  CASE WHEN weight_kg=48 THEN ' synthetic ' WHEN weight_kg=47 THEN NULL WHEN weight_kg=46
+    THEN 'MEASURED' ELSE data_type END AS data_type,
+  CASE WHEN weight_kg=45 THEN NULL WHEN weight_kg=44 THEN 'again' ELSE shipment_id END
+    AS shipment_id)
+  FROM fact_shipment WHERE ship_date_key//100%4<>2)"""
+"""Shipments with missing dates, ids and markers, baselines of zero, repeated ids, and whole
+months left out."""
+
+
+def findings(table: str, source: str, shipment_id_limit: int = 80) -> str:
     """Every row rule of the shipments, and the repeated keys, as one UNION ALL."""
     sid = "shipment_id"
 
@@ -213,14 +229,14 @@ def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
     ):
         for c in columns.split():
             rules.append(
-                (rule, c, f"{c} IS NULL OR {c}<0", about(f"{c} must be finite and non-negative"))
+                (rule, c, f"{c} IS NULL OR {c}<0", about(f"{c} is missing, not a number or below zero"))
             )
     rules.append(
         (
             "C6",
             "ship_date_key",
             "NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key=f.ship_date_key)",
-            about("unknown ship_date_key"),
+            about("ship_date_key is not in the calendar"),
         )
     )
     for c in ("promised_delivery_date", "actual_delivery_date"):
@@ -229,7 +245,7 @@ def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
         )
         rules.append(("C7", c, early, about(f"{c} cannot be before dispatch")))
     rules.append(
-        ("C8", "weight_kg", "weight_kg<=0", about("weight_kg must be a finite positive number"))
+        ("C8", "weight_kg", "weight_kg<=0", about("weight_kg is not above zero"))
     )
     for c in ("planned_mode", "actual_mode"):
         bad = f"{c} IS NULL OR {c} NOT IN ('Road','Sea','Air')"
@@ -239,20 +255,20 @@ def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
             "C10",
             "expedited_flag",
             "expedited_flag NOT IN (0,1)",
-            about("expedited_flag must be 0 or 1"),
+            about("expedited_flag is neither 0 nor 1"),
         ),
         (
             "C12",
             "modeled_baseline_inr",
             "baseline_rate_inr_kg=0 OR modeled_baseline_inr=0",
-            about("baseline rate and total must be positive"),
+            about("baseline rate or total is zero"),
         ),
         (
             "C13",
             "modeled_baseline_inr",
             f"modeled_baseline_inr<>{expected}",
-            f"{sid} || ': baseline mismatch; expected ' || CAST({expected} AS VARCHAR)"
-            " || ', found ' || CAST(modeled_baseline_inr AS VARCHAR)",
+            f"{sid} || ': baseline mismatch: ' || CAST({expected} AS VARCHAR)"
+            " || ' by its parts, given ' || CAST(modeled_baseline_inr AS VARCHAR)",
         ),
     ]
     for c, dim in (
@@ -265,7 +281,7 @@ def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
                 "C14",
                 c,
                 f"NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{c}=f.{c})",
-                f"'Unknown {c}: ' || COALESCE(CAST({c} AS VARCHAR),'None')",
+                f"{sid} || ': no dimension row for {c} ' || COALESCE(CAST({c} AS VARCHAR),'None')",
             )
         )
     rules += [
@@ -273,25 +289,25 @@ def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
             "C15",
             "recorded_freight_inr",
             f"{charges}<>recorded_freight_inr",
-            f"'Invoice mismatch for ' || {sid}",
+            about("charges do not add up to the recorded freight"),
         ),
         (
             "C16",
             "delay_reason",
             f"{LATE} AND delay_reason='None'",
-            f"'Missing delay reason for ' || {sid}",
+            about("late without a delay reason"),
         ),
         (
             "C17",
             "delay_reason",
             f"{ON_TIME} AND delay_reason<>'None'",
-            f"'Unexpected delay reason for ' || {sid}",
+            about("delay reason although in time"),
         ),
         (
             "C18",
             "data_type",
             "data_type<>'SYNTHETIC'",
-            f"'Non-synthetic row detected: ' || {sid}",
+            about("not marked as synthetic"),
         ),
         (
             "C30",
@@ -306,6 +322,8 @@ def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
             f"'fact_shipment.shipment_id is longer than {shipment_id_limit}'",
         ),
     ]
+    for c in ("shipment_id", "planned_mode", "actual_mode", "delay_reason", "data_type"):
+        rules.append(("C21", c, f"trim({c})=''", f"'fact_shipment.{c} must not be blank'"))
     for c in ("customer_id", "fuel_surcharge_inr"):
         rules.append(("C23", c, f"{c} IS NULL", f"'fact_shipment.{c} must not be null'"))
     rows = " UNION ALL ".join(
@@ -315,6 +333,6 @@ def findings(table: str, source: str, shipment_id_limit: int = 16) -> str:
     )
     return (
         f"{rows} UNION ALL SELECT '{table}', NULL, 'C3', '{sid}', "
-        f"'{table}.{sid} contains duplicates' FROM (SELECT COUNT(*) AS n, "
+        f"'{table}.{sid} has repeated values' FROM (SELECT COUNT(*) AS n, "
         f"COUNT(DISTINCT {sid}) AS k FROM {source}) WHERE n>k"
     )

@@ -5,12 +5,14 @@ import pytest
 from conftest import dimensions, rows_of, shipment, table
 from pyspark.sql import functions as F
 
+from lanecost.operators.measures import where_members
 from lanecost.operators.rules import RuleViolation
 from lanecost.operators.upsert import insert_absent, upsert
 from lanecost.plans import load as loading
-from lanecost.plans.load import ReconciliationError, Store, load, run_states
+from lanecost.plans.load import ReconciliationError, StaleStateError, Store, load, run_states
 from lanecost.plans.quality import reconcile
 from lanecost.schemas import SCHEMAS
+from lanecost.streaming import batches
 from lanecost.streaming.batches import load_arrivals
 
 FEBRUARY = {
@@ -114,7 +116,7 @@ def test_failure_during_a_load_leaves_the_old_state(spark, store, monkeypatch, s
 
 def test_whole_load_must_hold_exactly_the_batch(spark, store):
     tables = {**dimensions(spark), "fact_shipment": fact(spark, shipment(1))}
-    with pytest.raises(ReconciliationError, match="expected 1, found 3 rows"):
+    with pytest.raises(ReconciliationError, match="3 rows and 3 keys stored, 1 given"):
         load(store, tables)
 
 
@@ -131,10 +133,81 @@ def test_arriving_batches(spark, store, tmp_path):
     fact(spark, shipment(5)).coalesce(1).write.mode("append").parquet(folder)
     load_arrivals(store, folder, str(tmp_path / "progress")).awaitTermination()
     assert len(keys(store)) == 5
-    # Progress lost after publication: the batch is recognised, not applied again.
-    version = store.published()[0]
+    # New progress: everything is applied again, to the same end.
     load_arrivals(store, folder, str(tmp_path / "other")).awaitTermination()
-    assert store.published()[0] == version
+    assert len(keys(store)) == 5
+
+
+def test_arrivals_from_two_folders(spark, store, tmp_path):
+    for number in (4, 5):
+        folder = str(tmp_path / f"arrivals-{number}")
+        fact(spark, shipment(number)).coalesce(1).write.parquet(folder)
+        load_arrivals(store, folder, str(tmp_path / f"progress-{number}")).awaitTermination()
+    assert keys(store) == [f"SIM-{n:05d}" for n in range(1, 6)]
+
+
+def test_published_batch_is_recognised_on_restart(spark, store, tmp_path, monkeypatch):
+    folder, progress = str(tmp_path / "arrivals"), str(tmp_path / "progress")
+    fact(spark, shipment(4)).coalesce(1).write.parquet(folder)
+
+    def lost(*args, **options):
+        load(*args, **options)
+        raise RuntimeError("driver lost after publication")
+
+    monkeypatch.setattr(batches, "load", lost)
+    with pytest.raises(Exception, match="driver lost"):
+        load_arrivals(store, folder, progress).awaitTermination()
+    monkeypatch.undo()
+    version = store.published()[0]
+    load_arrivals(store, folder, progress).awaitTermination()
+    assert store.published()[0] == version and len(keys(store)) == 4
+
+
+def test_of_overlapping_loads_the_later_fails(spark, store, monkeypatch):
+    """Another load publishes while one is being checked; it must not undo that."""
+    inner = loading.reconcile
+
+    def meanwhile(*args):
+        monkeypatch.setattr(loading, "reconcile", inner)
+        load(store, {"fact_shipment": fact(spark, shipment(8))}, whole=False, run_id="quick")
+        return inner(*args)
+
+    monkeypatch.setattr(loading, "reconcile", meanwhile)
+    batch = {"fact_shipment": fact(spark, shipment(9))}
+    with pytest.raises(StaleStateError, match="meanwhile"):
+        load(store, batch, whole=False, run_id="slow")
+    assert "SIM-00008" in keys(store) and "SIM-00009" not in keys(store)
+    assert {r.run_id: r.status for r in store.runs().collect()}["slow"] == "FAILED"
+    load(store, batch, whole=False, run_id="slow")
+    assert {"SIM-00008", "SIM-00009"} <= set(keys(store))
+
+
+def test_unused_runs_are_removed(spark, store):
+    load(store, {"fact_shipment": fact(spark, shipment(1))}, whole=False, run_id="second")
+    assert store.remove_unused() == []
+    removed = store.remove_unused(older_than_hours=-1)
+    assert "landed/fact_shipment/run=first" in removed
+    assert "data/fact_shipment/run=first" not in removed  # still holds February
+    assert keys(store) == ["SIM-00001", "SIM-00002", "SIM-00003"]
+
+
+def test_business_rule_looks_at_the_whole_table(spark, store, monkeypatch):
+    seen = []
+    inner = loading.reconcile
+
+    def looked(source, target, whole):
+        seen.append(whole.count())
+        return inner(source, target, whole)
+
+    monkeypatch.setattr(loading, "reconcile", looked)
+    load(store, {"fact_shipment": fact(spark, shipment(9))}, whole=False)
+    assert seen == [4]
+
+
+def test_year_slicer_skips_months(store):
+    sliced = where_members(store.star(), {"calendar_year": [2025]})
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and sliced.count() == 3
 
 
 def test_upsert_and_insert_absent(spark):

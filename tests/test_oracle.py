@@ -4,19 +4,20 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+import catalogue
 from lanecost.operators.rules import RuleViolation
 
 SF_DIR = "/root/testdata/sf0.001"
 # In the smallest tables a few line items share their four-part key, so a load
 # refuses them, as it should; loads are compared on the next size.
 LARGER = "/root/testdata/sf0.01"
-LOADS = ("load_run", "incremental_batch")
+LOADS = ("load_run", "incremental_batch", "load_two_sources")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = {name: query for name, query in entry_module.queries().items() if name in catalogue.QUERIES}
+ORACLE = {name: sql for name, sql in entry_module.oracle_sql().items() if name in QUERIES}
 SPARK_TYPES = {
     "VARCHAR": "string",
     "INTEGER": "int",
@@ -56,9 +57,9 @@ def test_query_equals_sql(spark, duck, name):
     assert found == expected
 
 
-@pytest.mark.parametrize("name", LOADS)
+@pytest.mark.parametrize("name", LOADS[:2])
 def test_load_refuses_repeated_keys(spark, name):
-    with pytest.raises(RuleViolation, match="shipment_id contains duplicates"):
+    with pytest.raises(RuleViolation, match="shipment_id has repeated values"):
         QUERIES[name](spark, SF_DIR)
 
 
