@@ -318,12 +318,13 @@ def detect(docs: DataFrame, text: str = "text", drop: tuple[str, ...] = (), name
     base, votes and features, by start and rank. Code points, end exclusive.
 
     Null and empty texts have no spans, and repeated rows have the same. An empty table
-    gives an empty table. Other columns pass through; ``drop`` leaves some out. Texts
+    gives an empty table. Other columns pass through, but for one named like the new
+    one; ``drop`` leaves some out. Texts
     are read once; the classifier's decisions, at most one per kind and feature pattern,
     are read by the driver.
     """
     rows = docs.withColumn(name, candidates(F.col(text))).select(
-        *(c for c in docs.columns if c not in drop), name
+        *(c for c in docs.columns if c not in (*drop, name)), name
     )
     rows = written(rows, "candidates")
     each = rows.where(F.exists(name, lambda s: F.size(s["votes"]) > 0)).select(F.explode(name).alias("s"))

@@ -58,8 +58,10 @@ def judged(
     exceed it. Null and empty texts have no perplexity and are not kept. A null language
     is one named ''; documents of a language without trusted text are not judged: kept,
     threshold null. So are all, without labels. Repeated rows are judged alike; a
-    repeated key is trusted if none of its labels is bad. Other columns pass through.
+    repeated key is trusted if none of its labels is bad. Other columns pass through,
+    but for those named like the new ones.
     """
+    docs = docs.drop(*names)
     ids = few(trusted_ids(labels, key, label), TRUSTED_IDS)
     marked = fresh(docs, "trusted")
     data = docs.join(ids, docs[key] == ids["_trusted"], "left").withColumn(marked, F.col("_trusted").isNotNull())

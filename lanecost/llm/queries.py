@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lanecost.llm import chat, forest, huffman, minhash, packing, pieces, pii, quality, rules, sharding
 from lanecost.llm.common import table
-from lanecost.llm.sql import CHAT, SHARDS
+from lanecost.llm.sql import CHAT, DUPLICATES
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
@@ -87,5 +87,6 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_forest_duplicates": DUPLICATES,
     "op7_chat_perspectives": CHAT,
 }

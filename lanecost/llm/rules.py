@@ -98,10 +98,11 @@ def judged(
     the language's median plus and minus ``WIDTH`` times the distance to the upper and
     lower quartile, over all documents that pass the base rules. Null and empty texts
     have no words and fail. A null language is one named ''. Repeated rows are judged
-    alike; an empty table gives an empty table; other columns pass through. ``prefix``
-    goes before the names of the new columns.
+    alike; an empty table gives an empty table; other columns pass through, but for those
+    named like the new ones. ``prefix`` goes before the names of the new columns.
     """
     own = {n: f"{prefix}{n}" for n in (*MEASURES, "base_failed", "log_perplexity", "low", "high", "kept")}
+    docs = docs.drop(*own.values())
     counts = written(ngrams.gram_counts(docs, text, language, F.lit(True)), "grams")
     scores = written(ngrams.gram_scores(counts), "scores")
     raw, symbols = fresh(docs, "raw_score"), fresh(docs, "symbols")

@@ -36,3 +36,26 @@ WITH RECURSIVE jumps AS (
     )
 ) SELECT doc_id, max(land) FILTER (land < 40) AS shard, max(land) FILTER (land < 41) AS grown_shard FROM jumps GROUP BY doc_id
 """
+
+DUPLICATES = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), shingled AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
+    FROM worded
+), sized AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY 1),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingled a JOIN shingled b USING (shingle) GROUP BY 1, 2
+), linked AS (
+    SELECT a, b FROM shared JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+    WHERE 100 * common >= 75 * (x.n + y.n - common)
+), reached AS (
+    SELECT a, b FROM linked UNION SELECT r.a, l.b FROM reached r JOIN linked l ON r.b = l.a
+), smallest AS (SELECT a, min(b) AS least FROM reached GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, d.doc_id) AS component_id,
+       coalesce(least, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sized USING (doc_id) LEFT JOIN smallest ON a = d.doc_id
+"""
