@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,17 +14,20 @@ def sequential_ids(
     tie_break: str,
     prefix: str = "SIM-",
     digits: int = 5,
-    bucket_digits: int = 3,
+    bucket_rows: int = 50_000,
 ) -> DataFrame:
     """Adds ``sequence_id``: ``prefix`` and the row's position, from 1, by
     ``order_by``. Rows with equal ``order_by`` follow the MD5 of ``tie_break``
     (unique per row), so the result does not depend on the order of the input.
 
     A position is the rows before its order value, plus the rows before its
-    bucket within the value, plus the rank in the bucket. Buckets, the first
-    ``bucket_digits`` hex digits of the MD5, evenly split a value that holds a
-    large part of all rows; only their sizes are ever ordered across buckets.
+    bucket within the value, plus the rank in the bucket. Buckets, the first hex
+    digits of the MD5, evenly split a value that holds a large part of all rows; as
+    many digits are used as the largest value needs for about ``bucket_rows`` a
+    bucket. Only the sizes of buckets are ever ordered across them.
     """
+    largest = df.groupBy(order_by).count().agg(F.max("count")).head()[0] or 1
+    bucket_digits = max(1, math.ceil(math.log(max(1.0, largest / bucket_rows), 16)))
     hashed = df.withColumn("_hash", F.md5(F.col(tie_break).cast("string"))).withColumn(
         "_bucket", F.substring("_hash", 1, bucket_digits)
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -11,7 +13,10 @@ from pyspark.sql import SparkSession
 
 @cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="lanecost-")
+    """A temporary folder of this process, which goes with it."""
+    folder = tempfile.mkdtemp(prefix="lanecost-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
