@@ -62,12 +62,12 @@ def judged(
     but for those named like the new ones.
     """
     docs = docs.drop(*names)
-    ids = few(trusted_ids(labels, key, label), TRUSTED_IDS)
-    marked = fresh(docs, "trusted")
-    data = docs.join(ids, docs[key] == ids["_trusted"], "left").withColumn(marked, F.col("_trusted").isNotNull())
+    marked, named_id = fresh(docs, "trusted"), fresh(docs, "trusted_id")
+    ids = few(trusted_ids(labels, key, label).select(F.col("_trusted").alias(named_id)), TRUSTED_IDS)
+    data = docs.join(ids, docs[key] == ids[named_id], "left").withColumn(marked, F.col(named_id).isNotNull())
     held = fresh(docs, "held_out")
     out = F.pmod(F.xxhash64(text), F.lit(FOLDS)) == 0
-    data = data.withColumn(held, F.col(marked) & out).drop("_trusted")
+    data = data.withColumn(held, F.col(marked) & out).drop(named_id)
     counts = written(ngrams.gram_counts(data, text, language, F.col(marked) & ~F.col(held)), "grams")
     scores = written(ngrams.gram_scores(counts), "scores")
     known = written(counts.where(F.col("n") > 0).select(F.col("language").alias("_known")).distinct(), "languages")
@@ -80,9 +80,10 @@ def judged(
     spoken = F.coalesce(F.col(language).cast("string"), F.lit(""))
     named = fresh(found, "spoken")
     rows = found.withColumn(named, spoken)
-    middle = ngrams.quantiles(rows.where(F.col(held)), named, raw, {"_middle": 0.5}).select(named, "_middle")
+    half = fresh(found, "middle")
+    middle = ngrams.quantiles(rows.where(F.col(held)), named, raw, {half: 0.5}).select(named, half)
     rows = rows.join(few(written(middle, "medians")), named, "left")
-    value = smoothed(F.col(raw), F.col(symbols), F.coalesce(F.col("_middle"), F.col(raw)))
+    value = smoothed(F.col(raw), F.col(symbols), F.coalesce(F.col(half), F.col(raw)))
     log_perplexity, threshold, kept = names
     rows = rows.withColumn(log_perplexity, value)
     limits = ngrams.quantiles(rows.where(F.col(held)), named, log_perplexity, {"_half": 0.5, "_most": SHARE})

@@ -120,9 +120,10 @@ def judged(
     named = fresh(found, "spoken")
     rows = found.withColumn(named, F.coalesce(F.col(language).cast("string"), F.lit("")))
     passed = ~F.col(own["base_failed"])
-    middle = ngrams.quantiles(rows.where(passed), named, raw, {"_middle": 0.5}).select(named, "_middle")
+    half = fresh(found, "middle")
+    middle = ngrams.quantiles(rows.where(passed), named, raw, {half: 0.5}).select(named, half)
     rows = rows.join(few(written(middle, "medians")), named, "left")
-    value = smoothed(F.col(raw), F.col(symbols), F.coalesce(F.col("_middle"), F.col(raw)))
+    value = smoothed(F.col(raw), F.col(symbols), F.coalesce(F.col(half), F.col(raw)))
     rows = rows.withColumn(own["log_perplexity"], value)
     cuts = {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75}
     bands = ngrams.quantiles(rows.where(passed), named, own["log_perplexity"], cuts).select(
