@@ -11,6 +11,9 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 
+_given: list[str] = []
+
+
 @cache
 def _own_folder() -> str:
     """A temporary folder of this process, which goes with it."""
@@ -28,4 +31,17 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         root = _own_folder()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _given.append(folder)
+    return folder
+
+
+def remove_shared_folders(spark: SparkSession) -> list[str]:
+    """Delete the folders that this process was given so far, once nothing that reads
+    them is still to run; returns those that were there."""
+    removed = []
+    while _given:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_given.pop())
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+            removed.append(path.toString())
+    return removed

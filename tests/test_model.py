@@ -150,3 +150,14 @@ def test_shared_folder_follows_the_session(spark):
     Conf.value = None
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session(), "x")
+
+
+def test_shared_folders_are_removed_on_request(spark, monkeypatch):
+    from lanecost.sources import folders
+
+    monkeypatch.setattr(folders, "_given", [])
+    used, unused = folders.shared_folder(spark, "x"), folders.shared_folder(spark, "y")
+    spark.range(3).write.parquet(used)
+    (removed,) = folders.remove_shared_folders(spark)
+    assert removed.removeprefix("file:") == used.removeprefix("file:") and unused not in removed
+    assert folders.remove_shared_folders(spark) == []
