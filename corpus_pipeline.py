@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lanecost.llm import minhash, packing, pii, quality, rules
-from lanecost.llm.common import table, written
+from lanecost.llm.common import ship, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,11 +22,13 @@ def trusted_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie in their language's perplexity band."""
+    ship(spark)
     return rules.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near-duplicates."""
+    ship(spark)
     return minhash.keep(docs)
 
 

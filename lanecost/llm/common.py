@@ -2,15 +2,45 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
+import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lanecost.sources.folders import shared_folder
 
+_shipped: set[str] = set()
+
+
+@cache
+def _archive() -> str:
+    """The package as an archive that workers can import from."""
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="lanecost-")) / "lanecost.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    atexit.register(shutil.rmtree, path.parent, ignore_errors=True)
+    return str(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the workers of a session, wherever it was started from;
+    once for a Spark application, before the first operator that runs Python."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        context.addPyFile(_archive())
+        _shipped.add(context.applicationId)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
