@@ -29,7 +29,7 @@ LEAVES = 128
 LEAST_LEAF = 16
 SAMPLE_VALUES = 4_000_000
 """Bound of the sample that trees are fitted on, in vector components: 62,500 rows of 64."""
-SHARE = 0.6
+SHARE = 0.9
 """A search ends when its leaves hold this share of all rows, counting a row in each of its trees."""
 LEAST_ROWS = 500
 FIRST = 24
