@@ -152,42 +152,46 @@ def gram_scores(counts: DataFrame) -> DataFrame:
     """language, gram, score: the natural logarithm of the interpolated probability of
     the last symbol of every gram in ``counts`` after the three before it.
 
-    Learned are the grams with n > 0. Lower orders count distinct left neighbours.
+    Learned are the grams with n > 0. Lower orders count distinct left neighbours. Each
+    order is a table of its own, written, so that no plan spans them all.
     """
-    learned = [counts.where(F.col("n") > 0).select("language", "gram", "n")]
-    asked = [counts.select("language", "gram")]
+    tables = [counts.select("language", "gram", "n")]
     for order in range(ORDER - 1, 0, -1):
-        shorter = _suffix(F.col("gram"), order).alias("gram")
-        learned.append(learned[-1].select("language", shorter).groupBy("language", "gram").agg(F.count("*").alias("n")))
-        asked.append(asked[-1].select("language", shorter).distinct())
-    facts = few(written(_discounts(learned), "discounts"))
+        shorter = tables[-1].groupBy("language", _suffix(F.col("gram"), order).alias("gram"))
+        tables.append(written(shorter.agg(F.count_if(F.col("n") > 0).alias("n")), "shorter-grams"))
+    facts = few(written(_discounts([t.where(F.col("n") > 0) for t in tables]), "discounts"))
     symbols = facts.where(F.col("order") == 1).select("language", (F.col("symbols") + 1).alias("symbols"))
-    lower = asked[-1].join(symbols, "language", "left").select(
-        "language", "gram", (F.lit(1.0) / F.coalesce("symbols", F.lit(65_536))).alias("p")
+    lower = (
+        tables[-1]
+        .join(symbols, "language", "left")
+        .select("language", "gram", (F.lit(1.0) / F.coalesce("symbols", F.lit(65_536))).alias("p"))
     )
     for order in range(1, ORDER + 1):
         of = facts.where(F.col("order") == order).drop("order", "symbols")
-        d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        counted = learned[ORDER - order].join(of, "language").select("language", "gram", "n", d.alias("d"))
-        context = F.shiftrightunsigned(F.col("gram"), 16).alias("context")
+        d = F.when(F.col("n") == 0, 0.0).when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2"))
+        shorter = _suffix(F.col("gram"), order - 1) if order > 1 else F.col("gram")
+        context = F.shiftrightunsigned(F.col("gram"), 16)
+        rows = (
+            tables[ORDER - order]
+            .join(of, "language", "left")
+            .select("language", "gram", "n", d.otherwise(F.col("d3")).alias("d"), context.alias("context"), shorter.alias("shorter"))
+        )
         contexts = (
-            counted.groupBy("language", context)
-            .agg(F.sum("n").alias("total"), F.sum("d").alias("spare"))
-            .select("language", "context", F.col("total").cast("double").alias("total"), "spare")
+            rows.where(F.col("n") > 0)
+            .groupBy("language", "context")
+            .agg(F.sum("n").cast("double").alias("total"), F.sum("d").alias("spare"))
         )
         below = lower.select("language", F.col("gram").alias("shorter"), F.col("p").alias("below"))
-        shorter = _suffix(F.col("gram"), order - 1) if order > 1 else F.col("gram")
-        wanted = asked[ORDER - order].select("language", "gram", shorter.alias("shorter"), context)
-        own = (F.col("n") - F.col("d")) / F.col("total")
         p = F.when(
-            F.col("total").isNotNull(), F.coalesce(own, F.lit(0.0)) + F.col("spare") / F.col("total") * F.col("below")
+            F.col("total").isNotNull(), (F.col("n") - F.col("d") + F.col("spare") * F.col("below")) / F.col("total")
         ).otherwise(F.col("below"))
         lower = (
-            wanted.join(below, ["language", "shorter"])
+            rows.join(below, ["language", "shorter"])
             .join(contexts, ["language", "context"], "left")
-            .join(counted, ["language", "gram"], "left")
             .select("language", "gram", p.alias("p"))
         )
+        if order < ORDER:
+            lower = written(lower, "probabilities")
     return lower.select("language", "gram", F.log(F.greatest("p", F.lit(1e-300))).alias("score"))
 
 
