@@ -8,10 +8,11 @@ from itertools import chain
 
 import numpy as np
 
-Segment = Callable[[list[str]], list[np.ndarray]]
+Segment = Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+"""Of distinct chunks, and which of them are odd: ids, where each chunk's start, how many."""
 
 MOST_CHUNKS = 1_000_000
-"""A table of more distinct chunks is begun anew after a batch; bounds a worker's memory."""
+"""A table of more distinct chunks is trimmed before the next texts; bounds a worker's memory."""
 
 
 class _Numbers(dict):
@@ -28,36 +29,67 @@ class _Numbers(dict):
 
 
 class ChunkTable:
-    """``segment`` gives the ids of distinct chunks."""
+    """``segment`` gives the ids of distinct chunks; ``odd`` marks chunks that show that
+    their text has to be cut in another way."""
 
-    def __init__(self, segment: Segment, most: int = MOST_CHUNKS) -> None:
-        self._segment, self._most = segment, most
-        self._clear()
-
-    def _clear(self) -> None:
+    def __init__(self, segment: Segment, most: int = MOST_CHUNKS, odd: Callable[[str], bool] | None = None) -> None:
+        self._segment, self._most, self._is_odd = segment, most, odd
         self._numbers = _Numbers()
         self._starts = np.zeros(0, np.int64)
         self._lengths = np.zeros(0, np.int64)
+        self._seen = np.zeros(0, np.int64)
+        self._odd = np.zeros(0, bool)
         self._ids = np.zeros(0, np.int32)
-        self._room = 0
 
-    def ids(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, given as their chunks, and where each text's end."""
-        if len(self._numbers) > self._most:
-            self._clear()
+    def _trim(self) -> None:
+        """Keep the chunks seen most often, at most half as many as there may be, of
+        those seen twice."""
+        often = np.flatnonzero(self._seen > 1)
+        if len(often) > self._most // 2:
+            often = np.sort(often[np.argsort(-self._seen[often], kind="stable")[: self._most // 2]])
+        chunks = list(self._numbers)
+        self._numbers = _Numbers()
+        for i in often:
+            self._numbers[chunks[i]] = len(self._numbers)
+        self._ids, stops = self._gathered(often, np.ones(len(often), np.int64))
+        self._lengths = self._lengths[often]
+        self._starts = stops - self._lengths
+        self._seen, self._odd = self._seen[often] // 2, self._odd[often]
+
+    def _numbered(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all chunks, and how many each text has."""
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         at = np.fromiter(map(self._numbers.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
-        if self._numbers.new:
-            found = self._segment(self._numbers.new)
-            self._numbers.new = []
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            starts = len(self._ids) + np.cumsum(lengths) - lengths
-            self._ids = np.concatenate([self._ids, *found]).astype(np.int32, copy=False)
-            self._starts = np.concatenate([self._starts, starts])
+        new, self._numbers.new = self._numbers.new, []
+        if new:
+            odd = np.fromiter(map(self._is_odd, new), bool, len(new)) if self._is_odd else np.zeros(len(new), bool)
+            ids, starts, lengths = self._segment(new, odd)
+            self._starts = np.concatenate([self._starts, len(self._ids) + starts])
             self._lengths = np.concatenate([self._lengths, lengths])
+            self._ids = np.concatenate([self._ids, ids])
+            self._seen = np.concatenate([self._seen, np.zeros(len(new), np.int64)])
+            self._odd = np.concatenate([self._odd, odd])
+        return at, sizes
+
+    def _gathered(self, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self._lengths[at]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         shift = np.repeat(self._starts[at] - (ends - lengths), lengths)
         stops = np.concatenate([[0], ends])[np.cumsum(sizes)]
         return self._ids[np.arange(total) + shift], stops
+
+    def ids(self, texts: list[list[str]], again: Callable[[int], list[str]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, given as their chunks, and where each text's end.
+        ``again`` gives the chunks of a text that has odd ones."""
+        if len(self._numbers) > self._most:
+            self._trim()
+        at, sizes = self._numbered(texts)
+        if again and self._odd[at].any():
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            parts = np.split(at, np.cumsum(sizes)[:-1])
+            for i in np.unique(owner[self._odd[at]]):
+                parts[i], (sizes[i],) = self._numbered([again(i)])
+            at = np.concatenate(parts)
+        self._seen += np.bincount(at, minlength=len(self._seen))
+        return self._gathered(at, sizes)

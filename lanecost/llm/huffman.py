@@ -19,7 +19,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -53,53 +53,71 @@ def tokenizer(path: str):  # noqa: ANN201
 
 
 @lru_cache(maxsize=2)
-def _table(path: str) -> tuple[ChunkTable, np.ndarray]:
-    """The table of chunks of a byte-level model, and which of them have odd spaces."""
+def _table(path: str) -> ChunkTable:
+    """The table of chunks of a byte-level model; a chunk begins a text or has a space in front."""
     model = tokenizer(path)
     width = np.zeros(model.get_vocab_size(), np.int64)
     for token, i in model.get_vocab().items():
         width[i] = len(token)  # one character for each byte
 
-    def segment(chunks: list[str]) -> list[np.ndarray]:
-        texts = [c[1:] if c.startswith(FIRST) else " " + c for c in chunks]
-        sizes = [len(t.encode()) for t in texts]
-        out: list[np.ndarray] = []
-        for i in range(0, len(texts), 4_000):
-            ids = np.array(model.encode("".join(texts[i : i + 4_000]), add_special_tokens=False).ids, np.int64)
-            ends = np.cumsum(width[ids])
-            stops = np.cumsum(sizes[i : i + 4_000])
-            cuts = np.searchsorted(ends, stops, side="left") + 1
-            empty = np.array(sizes[i : i + 4_000]) == 0
-            cuts[empty] = np.concatenate([[0], cuts])[:-1][empty]
-            if len(ids) and not np.array_equal(ends[np.maximum(cuts, 1) - 1][cuts > 0], stops[cuts > 0]):
-                found = model.encode_batch(texts[i : i + 4_000], add_special_tokens=False)
-                out += [np.array(x.ids, np.int32) for x in found]
-            else:
-                out += [ids[a:b].astype(np.int32) for a, b in pairwise([0, *cuts])]
-        return out
-
-    return ChunkTable(segment)
-
-
-def _chunks(text: str) -> list[str]:
-    """A text cut before single spaces between two other characters, where the model's
-    own first split always cuts: such a space begins a word."""
-    words = text.split(" ")
-    if any(not w or w[0].isspace() or w[-1].isspace() for w in words):
-        words = _REGULAR.split(text)
+    def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids, and how many each has, of texts that the model cuts apart wherever
+        they stand in a row."""
+        ids = np.array(model.encode("".join(texts), add_special_tokens=False).ids, np.int32)
+        ends = np.cumsum(width[ids])
+        stops = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in texts])
+        cuts = np.searchsorted(ends, stops) + 1
+        if len(ids) != cuts[-1] or not np.array_equal(ends[cuts - 1], stops):
+            return None
+        return ids, np.diff(cuts, prepend=0)
+
+    def alone(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in model.encode_batch(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(found), np.int32)
+        return flat, np.fromiter(map(len, found), np.int64, len(found))
+
+    def segment(chunks: list[str], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        single = odd | np.fromiter((c[:1] == FIRST for c in chunks), bool, len(chunks))
+        parts = [alone([chunks[i][1:] if chunks[i][:1] == FIRST else f" {chunks[i]}" for i in np.flatnonzero(single)])]
+        regular = [f" {chunks[i]}" for i in np.flatnonzero(~single)]
+        for i in range(0, len(regular), 4_000):
+            some = regular[i : i + 4_000]
+            parts.append(joined(some) or alone(some))
+        order = np.concatenate([np.flatnonzero(single), np.flatnonzero(~single)])
+        lengths = np.concatenate([n for _, n in parts])
+        starts = np.cumsum(lengths) - lengths
+        back = np.argsort(order)
+        return np.concatenate([ids for ids, _ in parts]), starts[back], lengths[back]
+
+    return ChunkTable(segment, odd=_irregular)
+
+
+def _irregular(chunk: str) -> bool:
+    """Whether a word between two spaces is none, or has other white space at an end:
+    there the model's own first split may cut elsewhere."""
+    word = chunk.removeprefix(FIRST)
+    return not word or word[0].isspace() or word[-1].isspace()
+
+
+def _first_marked(words: list[str]) -> list[str]:
     words[0] = FIRST + words[0]
     return words
 
 
 def tokenize(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts and where each text's end, as the library's encode gives
-    them without special tokens."""
-    lists = [_chunks(t) if FIRST not in t else None for t in texts]
-    if None in lists:
+    them without special tokens.
+
+    A text is cut before spaces that stand between two other characters, where the
+    model's own first split always cuts, as such a space begins a word. Words that show
+    other spacing have their text cut by a pattern instead of at every space.
+    """
+    if any(FIRST in t for t in texts):
         found = tokenizer(path).encode_batch(texts, add_special_tokens=False)
         sizes = [len(x.ids) for x in found]
         return np.array([i for x in found for i in x.ids], np.int32), np.cumsum(sizes)
-    return _table(path).ids(lists)
+    words = [_first_marked(t.split(" ")) for t in texts]
+    return _table(path).ids(words, lambda i: _first_marked(_REGULAR.split(texts[i])))
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:

@@ -3,8 +3,8 @@
 In a model whose pieces never go on past a whitespace marker, merges stay inside a run
 of markers and the word behind it. So a text is cut there, every distinct marked word is
 segmented once, and its ids are put back at all its positions. The table of distinct
-words belongs to a task: it grows with the words the task meets and is begun anew beyond
-a bound, and nothing is shuffled.
+words belongs to a worker process: it grows with the words met, is trimmed to the frequent
+ones beyond a bound, and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,9 +67,10 @@ def _table(path: str) -> ChunkTable | None:
         return None
     alone = model.piece_to_id(MARK)
 
-    def segment(words: list[str]) -> list[np.ndarray]:
-        found = model.encode(words, num_threads=1)
-        return [np.array(ids if word else [alone], np.int32) for word, ids in zip(words, found, strict=True)]
+    def segment(words: list[str], _: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = [ids if word else [alone] for word, ids in zip(words, model.encode(words, num_threads=1), strict=True)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32), np.cumsum(lengths) - lengths, lengths
 
     return ChunkTable(segment)
 

@@ -376,3 +376,17 @@ def test_empty_tables(spark):
     assert quality.judged(docs, labels).count() == 0
     assert huffman.round_trip(docs, vocabulary(BYTES)).count() == 0
     assert sharding.shard_rows(docs).count() == 0
+
+
+@pytest.mark.parametrize("most", [5, 10**6])
+def test_ids_of_irregular_spacing_and_trimmed_tables(monkeypatch, most):
+    path = vocabulary(BYTES)
+    huffman._table.cache_clear()
+    monkeypatch.setattr(huffman._table(path), "_most", most)
+    texts = [t or "" for t in ODD if huffman.FIRST not in (t or "")]
+    texts += ["a  b", " a", "a ", "a\n b", "a \tb c", "x  y z", "plain words of a text", "", " ", "\n"] * 3
+    for i in range(0, len(texts), 4):
+        ids, stops = huffman.tokenize(texts[i : i + 4], path)
+        expected = [x.ids for x in huffman.tokenizer(path).encode_batch(texts[i : i + 4], add_special_tokens=False)]
+        assert [x.tolist() for x in np.split(ids, stops[:-1])] == expected
+    huffman._table.cache_clear()
