@@ -7,7 +7,9 @@ to be for two rows to meet follows from how crowded their region is: in a thin r
 the first value suffices, in a crowded one only the nearest of the order meet. Sorting by
 ranges splits regions of any size over tasks.
 
-Candidates are confirmed on the full sets, and confirmed links give components.
+Candidates are confirmed on the full sets, and confirmed links give components. Where
+more rows share a value than an order's neighbours reach, rows still apart are compared
+in tiles: first their sketches, then the full sets of those that are likely.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lanecost.llm.common import fresh, written
+from lanecost.llm.common import few, fresh, written
 from lanecost.llm.words import word_ids
 
 WORDS = 5
@@ -35,6 +37,13 @@ LIKELY = 0.5
 """Share of equal MinHash values from which a pair is confirmed: five standard deviations
 below the smallest similarity that counts."""
 ROWS_PER_TASK = 40_000
+RUN_VALUES = 3
+"""Consecutive values that rows of a crowded region share to be compared: 24 disjoint
+runs of them, all missed at similarity 0.75 with a chance of 2e-6."""
+TILE_ROWS = 1_024
+TILE_BYTES = 16 << 20
+"""Rows and bytes of sets in a block; a tile holds two blocks of a group of any size."""
+COLUMNS = 2_048
 
 _VALUES = TREES * DEPTH
 _RANDOM = np.random.default_rng(20240229)
@@ -259,6 +268,116 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return found
 
 
+def _tiles(rows: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of each group in ``groups`` (by, n_blocks), once for each pair of blocks
+    x <= y that they are in. Any two rows of a group meet in a tile."""
+    dealt = rows.join(few(groups), by).withColumn("block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("n_blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+    return dealt.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("block", "other", "n_blocks")
+
+
+def _reached(met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a symmetric matrix: every row that is met, beside the first row it is reached from."""
+    first = np.full(len(met), -1)
+    for i in np.flatnonzero(met.any(axis=1)):
+        if first[i] < 0:
+            edge = np.array([i])
+            first[i] = i
+            while len(edge):
+                edge = np.flatnonzero(met[edge].any(axis=0) & (first < 0))
+                first[edge] = i
+    rows = np.flatnonzero((first >= 0) & (first != np.arange(len(met))))
+    return rows, first[rows]
+
+
+def _apart(part: pa.Table, size: np.ndarray) -> np.ndarray:
+    """Pairs in two components whose sizes permit enough similarity."""
+    component = np.asarray(part.column("component").combine_chunks().dictionary_encode().indices)
+    low, high = np.minimum(size[:, None], size), np.maximum(size[:, None], size)
+    return (component[:, None] != component) & (100 * low >= PERCENT * high)
+
+
+def _links(part: pa.Table, met: np.ndarray) -> pa.Table:
+    node = part.column("node").combine_chunks()
+    rows, first = _reached(met)
+    return pa.table({"a": node.take(pa.array(first, pa.int64())), "b": node.take(pa.array(rows, pa.int64()))})
+
+
+def _pairs_type(df: DataFrame) -> T.StructType:
+    kind = df.schema["node"].dataType
+    return T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+
+
+def neighbourhoods(classes: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
+    """node, hood: nodes in crowded regions, in two components, that likely pairs connect.
+
+    ``classes`` has node, n_shingles, paths, sketch, component. Crowded is a value at the
+    head of a tree that more rows share than a row's neighbours reach. Every two of these
+    rows that share ``RUN_VALUES`` values are compared by their sketches."""
+    crowded = written(_crowded(classes, neighbours), "crowded")
+    runs = range(_VALUES // RUN_VALUES)
+    width = 4 * RUN_VALUES
+    at = F.explode(F.array(*(F.lit(i) for i in runs))).alias("run")
+    rows = crowded.select("node", "n_shingles", "sketch", "component", "paths", at)
+    rows = rows.withColumn("path", F.expr(f"substring(paths, run * {width} + 1, {width})")).drop("paths")
+    groups = rows.groupBy("run", "path").agg(
+        F.ceil(F.count("*") / TILE_ROWS).alias("n_blocks"), F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    groups = written(groups.where("least <> most").select("run", "path", "n_blocks"), "runs")
+
+    def compare(part: pa.Table) -> pa.Table:
+        n = part.num_rows
+        sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(n, _VALUES)
+        same = np.zeros((n, n), np.uint8)
+        for k in range(_VALUES):
+            same += sketch[:, k, None] == sketch[:, k]
+        return _links(part, _apart(part, np.asarray(part.column("n_shingles"))) & (same >= LIKELY * _VALUES))
+
+    tiles = _tiles(rows, groups, ["run", "path"])
+    likely = tiles.groupBy("run", "path", "x", "y").applyInArrow(compare, _pairs_type(classes))
+    return components(likely).withColumnRenamed("component", "hood")
+
+
+def _crowded(classes: DataFrame, neighbours: int) -> DataFrame:
+    heads = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
+    heads = heads.select("set_key", "component", "tree", F.expr(f"substring(paths, tree * {4 * DEPTH} + 1, 4)").alias("head"))
+    crowds = heads.groupBy("tree", "head").agg(
+        F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    crowds = written(crowds.where(f"n > {neighbours} + 1 AND least <> most").select("tree", "head"), "crowds")
+    return classes.join(heads.join(few(crowds), ["tree", "head"]).select("set_key").distinct(), "set_key", "left_semi")
+
+
+def _joined(hoods: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: links between components by the full sets of every two rows of a
+    neighbourhood. ``hoods`` has node, hood, component."""
+    rows = hoods.join(sets, "node").withColumn("size", F.octet_length("shingles").cast("long"))
+    blocks = F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("size") / TILE_BYTES))
+    groups = written(rows.groupBy("hood").agg(blocks.alias("n_blocks")), "hoods")
+
+    def compare(part: pa.Table) -> pa.Table:
+        n = part.num_rows
+        size = np.asarray(part.column("size")) // 8
+        every = np.frombuffer(b"".join(part.column("shingles").to_pylist()), np.uint64)
+        _, column, held = np.unique(every, return_inverse=True, return_counts=True)
+        shared = held > 1
+        place = np.cumsum(shared) - 1
+        owner, chosen = np.repeat(np.arange(n), size), shared[column]
+        owner, column = owner[chosen], place[column[chosen]]
+        by = np.argsort(column, kind="stable")
+        owner, column = owner[by], column[by]
+        both = np.zeros((n, n), np.float32)  # counts below 2**24 are exact
+        for start in range(0, int(shared.sum()), COLUMNS):
+            i, j = np.searchsorted(column, [start, start + COLUMNS])
+            has = np.zeros((n, COLUMNS), np.float32)
+            has[owner[i:j], column[i:j] - start] = 1
+            both += has @ has.T
+        both = both.astype(np.int64)
+        return _links(part, _apart(part, size) & (100 * both >= PERCENT * (size[:, None] + size - both)))
+
+    return _tiles(rows, groups, ["hood"]).groupBy("hood", "x", "y").applyInArrow(compare, _pairs_type(hoods))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", neighbours: int = NEIGHBOURS) -> DataFrame:
     """key, n_shingles, component_id, kept of every row.
 
@@ -286,6 +405,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ne
     sets = written(sets_of(docs, classes.select("node", "set_key").join(ends, "node"), key, text), "sets")
 
     final = _linked(pairs, sets)
+    now = classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    hoods = neighbourhoods(written(now, "linked"), neighbours).join(now.select("node", "component").distinct(), "node")
+    hoods = written(hoods, "neighbourhoods")
+    if not hoods.isEmpty():
+        apart = sets_of(docs, classes.select("node", "set_key").join(hoods.select("node"), "node"), key, text)
+        links = written(_joined(hoods, written(apart.distinct(), "sets")), "joined")
+        final = components(links.unionByName(final.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     of_set = classes.join(final, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     own = rows.join(of_set, "set_key", "left")
     component = F.when(F.col("key").isNotNull(), F.coalesce("component", "key"))

@@ -84,6 +84,25 @@ def test_near_duplicates_of_one_large_group_and_the_threshold(spark):
     assert result(minhash.near_duplicates(docs).collect()) == plain_components(rows)
 
 
+def test_near_duplicates_of_a_star_group(spark):
+    """Copies that are similar enough to one master only, not to one another."""
+    random = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base)]
+    for i in range(2000):
+        own = list(base)
+        for at in random.permutation(36)[:11]:
+            own[int(at) * 11 + 4] = f"x{i}y{at}"
+        texts.append(" ".join(own))
+    order = random.permutation(len(texts))
+    rows = [(int(k), texts[i]) for k, i in enumerate(order)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = minhash.near_duplicates(docs).collect()
+    # 341 or more of 451 shingles or fewer are shared with the master.
+    assert {r["component_id"] for r in found} == {0}
+    assert [r["doc_id"] for r in found if r["kept"]] == [0]
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(None, "one two three four five six", "x"), (3, "one two three four five six", "y"), (2, None, None), (2, None, None)]
     rows += [(5, "one two three four five six", "z"), (5, "one two three four five six", "z"), (7, "seven words " * 4000, None)]
