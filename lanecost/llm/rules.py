@@ -23,8 +23,10 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
-WIDTH = 12.0
-"""The band reaches this many times the distance from the median to the quartiles."""
+BELOW, ABOVE = 4.0, 5.0
+"""The band reaches this many times the distance from the median to the lower and to the
+upper quartile. On the labels of sf0.1 these are the last whole widths at which a step
+inwards still rejected more bad texts than good ones."""
 ARRAY_GRAMS = 50_000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -95,15 +97,18 @@ def judged(
 
     Base rules fail a text of fewer than 50 words, or with more than half of its words
     in repeated windows of three. Of the others, those outside low..high are rejected:
-    the language's median plus and minus ``WIDTH`` times the distance to the upper and
-    lower quartile, over all documents that pass the base rules. Null and empty texts
+    the language's median minus ``BELOW`` times the distance to the lower quartile, and
+    plus ``ABOVE`` times that to the upper one, over all documents that pass the base
+    rules. The model learns every distinct text once. Null and empty texts
     have no words and fail. A null language is one named ''. Repeated rows are judged
     alike; an empty table gives an empty table; other columns pass through, but for those
     named like the new ones. ``prefix`` goes before the names of the new columns.
     """
     own = {n: f"{prefix}{n}" for n in (*MEASURES, "base_failed", "log_perplexity", "low", "high", "kept")}
     docs = docs.drop(*own.values())
-    counts = written(ngrams.gram_counts(docs, text, language, F.lit(True)), "grams")
+    # Copies teach the model once, or a text that is repeated often would look usual.
+    texts = docs.select(text, language).distinct()
+    counts = written(ngrams.gram_counts(texts, text, language, F.lit(True)), "grams")
     scores = written(ngrams.gram_scores(counts), "scores")
     raw, symbols = fresh(docs, "raw_score"), fresh(docs, "symbols")
     data = docs.withColumn(symbols, F.length(text) + 1)
@@ -128,8 +133,8 @@ def judged(
     cuts = {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75}
     bands = ngrams.quantiles(rows.where(passed), named, own["log_perplexity"], cuts).select(
         named,
-        (F.col("_q2") - WIDTH * F.greatest(F.col("_q2") - F.col("_q1"), F.lit(0.01))).alias(own["low"]),
-        (F.col("_q2") + WIDTH * F.greatest(F.col("_q3") - F.col("_q2"), F.lit(0.01))).alias(own["high"]),
+        (F.col("_q2") - BELOW * F.greatest(F.col("_q2") - F.col("_q1"), F.lit(0.01))).alias(own["low"]),
+        (F.col("_q2") + ABOVE * F.greatest(F.col("_q3") - F.col("_q2"), F.lit(0.01))).alias(own["high"]),
     )
     rows = rows.join(few(written(bands, "bands")), named, "left")
     inside = F.col(own["log_perplexity"]).between(F.col(own["low"]), F.col(own["high"]))

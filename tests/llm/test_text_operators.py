@@ -212,6 +212,23 @@ def test_base_rules_equal_plain_code(docs):
         assert row["kept"] == row["doc_id"]
 
 
+def test_bands_reject_above_and_below(spark):
+    """Junk above the band, also where it has many copies, and a text of few patterns below."""
+    random = np.random.default_rng(3)
+    usual = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "ter") for b in ("n", "ra", "st") for c in ("en", "o", "is", "um")]
+    rows = [(i, " ".join(random.choice(usual, 300))) for i in range(300)]
+    junk = " ".join("".join(map(chr, random.integers(33, 123, 6))) for _ in range(300))
+    rows += [(k, junk) for k in range(1000, 1040)]
+    few = [f"kanen{'o' * i}" for i in range(1, 71)]
+    rows += [(2000, " ".join(random.permutation(few)))]
+    docs = spark.createDataFrame([(i, x, "x") for i, x in rows], "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r for r in rules.judged(docs).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    assert all(found[i]["log_perplexity"] > found[i]["high"] and not found[i]["kept"] for i in range(1000, 1040))
+    assert found[2000]["log_perplexity"] < found[2000]["low"] and not found[2000]["kept"]
+    assert sum(found[i]["kept"] for i in range(300)) >= 290
+
+
 def plain_scores(counts):
     """Interpolated modified Kneser-Ney by dictionaries, of one language."""
     levels = [{g: n for g, n in counts.items() if n > 0}]
