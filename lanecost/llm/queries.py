@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecost.llm import chat, forest, huffman, merkle, minhash, packing, pieces, pii, quality, rules, sharding
+from lanecost.llm import chat, forest, huffman, merkle, minhash, packing, phrases, pieces, pii, polytope, quality, rules, sharding
 from lanecost.llm.common import table
-from lanecost.llm.sql import CHAT, DUPLICATES, MERKLE
+from lanecost.llm.sql import CHAT, COLLOCATIONS, DUPLICATES, MERKLE, VECTORS
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
@@ -73,6 +73,14 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op11_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return merkle.verified(merkle.manifest(docs, presented=merkle.lowered_where(5)))
@@ -89,11 +97,15 @@ QUERIES: dict[str, Query] = {
     "op8_length_buckets": op8_length_buckets,
     "op9_jump_shards": op9_jump_shards,
     "op10_huffman_ids": op10_huffman_ids,
+    "op11_cross_polytope": op11_cross_polytope,
+    "op12_collocations": op12_collocations,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 SQL: dict[str, str] = {
     "op4_forest_duplicates": DUPLICATES,
     "op7_chat_perspectives": CHAT,
+    "op11_cross_polytope": VECTORS,
+    "op12_collocations": COLLOCATIONS,
     "op13_merkle_manifest": MERKLE,
 }

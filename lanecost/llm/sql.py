@@ -104,3 +104,51 @@ SELECT doc_id, leaf, subroot, root,
        folded_root = root AS verified
 FROM told t JOIN subroots s ON t.source IS NOT DISTINCT FROM s.source CROSS JOIN (SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1)
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), worded AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM pieces
+), spread AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded
+), started AS (SELECT lang, words[i] AS w1, words[i + 1] AS w2, words[i + 2] AS w3 FROM spread),
+ones AS (SELECT lang, w1, count(*) AS f FROM started GROUP BY ALL),
+twos AS (SELECT lang, w1, w2, count(*) AS f FROM started WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+threes AS (SELECT lang, w1, w2, w3, count(*) AS f FROM started WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM ones GROUP BY lang),
+cuts AS (
+    SELECT p.lang, concat(p.w1, ' ', p.w2) AS phrase, p.f AS a, 1 AS k, x.f AS l, y.f AS r
+    FROM twos p JOIN ones x ON x.lang = p.lang AND x.w1 = p.w1 JOIN ones y ON y.lang = p.lang AND y.w1 = p.w2
+    WHERE NOT EXISTS (SELECT 1 FROM threes t WHERE t.lang = p.lang AND t.w1 = p.w1 AND t.w2 = p.w2 AND 100 * t.f >= 50 * p.f)
+      AND NOT EXISTS (SELECT 1 FROM threes t WHERE t.lang = p.lang AND t.w2 = p.w1 AND t.w3 = p.w2 AND 100 * t.f >= 50 * p.f)
+    UNION ALL
+    SELECT p.lang, concat(p.w1, ' ', p.w2, ' ', p.w3), p.f, 1, x.f, y.f
+    FROM threes p JOIN ones x ON x.lang = p.lang AND x.w1 = p.w1 JOIN twos y ON y.lang = p.lang AND y.w1 = p.w2 AND y.w2 = p.w3
+    UNION ALL
+    SELECT p.lang, concat(p.w1, ' ', p.w2, ' ', p.w3), p.f, 2, x.f, y.f
+    FROM threes p JOIN twos x ON x.lang = p.lang AND x.w1 = p.w1 AND x.w2 = p.w2 JOIN ones y ON y.lang = p.lang AND y.w1 = p.w3
+), scored AS (
+    SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY 1000000::HUGEINT * a * a // (l::HUGEINT * r), k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+VECTORS = """
+WITH RECURSIVE fit AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+    SELECT a, b FROM linked UNION SELECT r.a, l.b FROM reached r JOIN linked l ON r.b = l.a
+), smallest AS (SELECT a, min(b) AS least FROM reached GROUP BY 1), counted AS (SELECT a, count(*) AS n FROM linked GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(s.least, vec_id)) AS component_id,
+       vec_id <= coalesce(s.least, vec_id) AS kept
+FROM embeddings LEFT JOIN smallest s ON s.a = vec_id LEFT JOIN counted c ON c.a = vec_id
+"""

@@ -35,7 +35,7 @@ def test_documents_have_one_row_each(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_queries_equal_their_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     got = queries.QUERIES[name](spark, FOLDER)
     columns = sorted(got.columns)
@@ -48,7 +48,7 @@ def test_queries_equal_their_sql(spark, name):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_module.queries())
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11)) | {13}
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
