@@ -214,7 +214,7 @@ def _cores(codes: DataFrame, limit: float) -> tuple[DataFrame, DataFrame]:
     members = written(members.select("node", "dim", "best.*"), "members")
     found = members.join(codes.select("node", "weight"), "node").groupBy("dim", "core")
     found = found.agg(F.max("angle").alias("radius"), F.sum("weight").alias("weight"), F.min("node").alias("first"))
-    return members.select("node", "core"), written(found.join(centres, ["dim", "core"]), "cores")
+    return members.select("node", "dim", "core"), written(found.join(centres, ["dim", "core"]), "cores")
 
 
 _PLACE = ["dim", "at", "bucket"]
@@ -225,7 +225,7 @@ def _entries(codes: DataFrame, members: DataFrame) -> DataFrame:
     lies in (own) or looks into, of those in which nodes can meet that are not linked
     by their core already."""
     probes = F.col("probes")
-    rows = codes.join(members, "node", "left")
+    rows = codes.join(members.drop("dim"), "node", "left")
     rows = rows.select("node", "dim", F.coalesce("core", F.lit(FREE)).alias("core"), (F.size("codes") / TABLES).cast("int").alias("probes"),
                        F.posexplode("codes").alias("pos", "bucket"))
     rows = rows.select(
@@ -375,7 +375,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         "dim", "core", (F.col("weight") + F.coalesce("beside", F.lit(0))).alias("in_core"), "first", "other"
     )
     of_tiles = tiles.groupBy("node").agg(F.sum("weight").alias("in_tiles"))
-    linked = classes.join(members, "node", "left").join(weights, ["dim", "core"], "left").join(of_tiles, "node", "left")
+    # Joined with the members first: most nodes have no core, and would meet in one task.
+    of_core = members.join(weights, ["dim", "core"]).select("node", "in_core", "first", "other")
+    linked = classes.join(of_core, "node", "left").join(of_tiles, "node", "left")
     n_links = F.coalesce("in_core", F.col("weight")) - 1 + F.coalesce("in_tiles", F.lit(0))
     linked = written(linked.select("node", "name", "key", "first", "other", n_links.alias("n_links")), "linked")
 
