@@ -5,6 +5,7 @@ import pytest
 from conftest import dimensions, rows_of, shipment, table
 from pyspark.sql import functions as F
 
+from lanecost.operators import key_filter
 from lanecost.operators.measures import where_members
 from lanecost.operators.rules import RuleViolation
 from lanecost.operators.upsert import insert_absent, upsert
@@ -91,13 +92,13 @@ def test_invalid_batch_changes_nothing(spark, store):
     assert states["bad"] == ("FAILED", "SIM-00001: invalid actual_mode: Teleport")
 
 
-@pytest.mark.parametrize("step", ["reconcile", "publish"])
+@pytest.mark.parametrize("step", ["settle", "publish"])
 def test_failure_during_a_load_leaves_the_old_state(spark, store, monkeypatch, step):
     def fail(*_):
         raise RuntimeError("intentional " + "x" * 600)
 
-    if step == "reconcile":
-        monkeypatch.setattr(loading, "reconcile", fail)
+    if step == "settle":
+        monkeypatch.setattr(loading, "settle", fail)
     else:
         monkeypatch.setattr(Store, "publish", fail)
     renamed = dimensions(spark)["dim_customer"].withColumn("customer_name", F.lit("ROLLBACK"))
@@ -165,14 +166,14 @@ def test_published_batch_is_recognised_on_restart(spark, store, tmp_path, monkey
 
 def test_of_overlapping_loads_the_later_fails(spark, store, monkeypatch):
     """Another load publishes while one is being checked; it must not undo that."""
-    inner = loading.reconcile
+    inner = loading.settle
 
     def meanwhile(*args):
-        monkeypatch.setattr(loading, "reconcile", inner)
+        monkeypatch.setattr(loading, "settle", inner)
         load(store, {"fact_shipment": fact(spark, shipment(8))}, whole=False, run_id="quick")
         return inner(*args)
 
-    monkeypatch.setattr(loading, "reconcile", meanwhile)
+    monkeypatch.setattr(loading, "settle", meanwhile)
     batch = {"fact_shipment": fact(spark, shipment(9))}
     with pytest.raises(StaleStateError, match="meanwhile"):
         load(store, batch, whole=False, run_id="slow")
@@ -191,17 +192,18 @@ def test_unused_runs_are_removed(spark, store):
     assert keys(store) == ["SIM-00001", "SIM-00002", "SIM-00003"]
 
 
-def test_business_rule_looks_at_the_whole_table(spark, store, monkeypatch):
-    seen = []
-    inner = loading.reconcile
-
-    def looked(source, target, whole):
-        seen.append(whole.count())
-        return inner(source, target, whole)
-
-    monkeypatch.setattr(loading, "reconcile", looked)
-    load(store, {"fact_shipment": fact(spark, shipment(9))}, whole=False)
-    assert seen == [4]
+def test_business_rule_looks_at_the_whole_table(spark, store):
+    """Rows that break it in a month which a batch does not touch still fail it."""
+    parts = store.published()[1]["fact_shipment"]
+    assert sum(e.rows for e in store.ledger("fact_shipment", parts).values()) == 3
+    spoiled = store.ledger("fact_shipment", parts)["202502"]
+    lines = [("202502", parts["202502"], 1, spoiled.rows, Decimal(spoiled.digest_sum), spoiled.digest_xor, 1)]
+    schema = f"part string, run string, blocks int, {loading.FIGURES}"
+    path = f"{store.root}/ledger/fact_shipment/run={parts['202502']}"
+    others = spark.read.schema(schema).parquet(path).where("part <> '202502'").collect()
+    spark.createDataFrame([*lines, *map(tuple, others)], schema).write.mode("overwrite").parquet(path)
+    with pytest.raises(ReconciliationError, match="business_rules: 1 rows"):
+        load(store, {"fact_shipment": fact(spark, shipment(9))}, whole=False)
 
 
 def test_year_slicer_skips_months(store):
@@ -210,6 +212,75 @@ def test_year_slicer_skips_months(store):
     assert "dynamicpruning" in plan and sliced.count() == 3
 
 
+@pytest.mark.parametrize("fault", ["missing", "doubled", "changed", "elsewhere"])
+@pytest.mark.parametrize("whole", [True, False])
+def test_reconciliation_finds_what_was_written_wrongly(spark, tmp_path, monkeypatch, fault, whole):
+    """The rows that reach the files are not those that were merged."""
+    new = Store(spark, str(tmp_path / "store"))
+    rows = fact(spark, shipment(1), shipment(2), shipment(3, **FEBRUARY))
+    tables = {**dimensions(spark), "fact_shipment": rows}
+    if not whole:
+        load(new, tables)
+        tables = {"fact_shipment": fact(spark, shipment(2, weight_kg=Decimal("100.00")), shipment(4))}
+
+    def spoiled(target, batch, key):
+        merged = upsert(target, batch, key)
+        if key != "shipment_id":
+            return merged
+        second = F.col(key) == "SIM-00002"
+        if fault == "missing":
+            return merged.where(~second)
+        if fault == "doubled":
+            return merged.unionByName(merged.where(second))
+        if fault == "changed":
+            return merged.withColumn("expedite_fee_inr", F.when(second, 7).otherwise(F.col("expedite_fee_inr")).cast("decimal(16,2)"))
+        return merged.withColumn("ship_month", F.when(second, 202503).otherwise(F.col("ship_month")))
+
+    monkeypatch.setattr(loading, "upsert", spoiled)
+    version = new.published()
+    with pytest.raises(ReconciliationError, match="fact_shipment"):
+        load(new, tables, whole=whole)
+    assert new.published() == version
+
+
+def test_batch_opens_only_months_whose_filter_hits(spark, store, monkeypatch):
+    opened = []
+    inner = Store.read_parts
+
+    def looked(self, table, parts):
+        if table == "fact_shipment":
+            opened.extend(parts)
+        return inner(self, table, parts)
+
+    monkeypatch.setattr(Store, "read_parts", looked)
+    march = {k: v.replace(month=3) for k, v in FEBRUARY.items() if k != "ship_date_key"}
+    load(store, {"fact_shipment": fact(spark, shipment(7, ship_date_key=20250320, **march))}, whole=False)
+    assert set(opened) == {"202503"}
+    opened.clear()
+    load(store, {"fact_shipment": fact(spark, shipment(3))}, whole=False)
+    assert "202502" in opened and "202503" not in opened
+    assert len(keys(store)) == 4
+
+
+def test_filters_find_every_key_and_few_others(spark):
+    blocks = key_filter.blocks_for(20_000)
+    rows = spark.range(20_000).selectExpr("concat('k', id) AS k", "CAST(id % 4 AS INT) AS part", f"{blocks // 4} AS blocks")
+    filters = key_filter.build(rows, "k", "blocks", "part").cache()
+    for part in range(4):
+        asked = rows.where(f"part = {part}").limit(1).select("k")
+        assert part in key_filter.parts_with(asked, filters, [blocks // 4], "part")
+    others = [spark.sql(f"SELECT 'other{i}' AS k") for i in range(20)]
+    assert sum(len(key_filter.parts_with(k, filters, [blocks // 4], "part")) for k in others) <= 2
+    assert [key_filter.blocks_for(n) for n in (0, 1, 16, 17, 33, 100)] == [1, 1, 1, 2, 4, 8]
+
+
+def test_claim_of_another_run_is_not_a_publication(spark, store):
+    assert store.was_published("first") and not store.was_published("unknown")
+    store._create("claims", "late.json", {"version": 1})
+    store._create("claims", "early.json", {"version": 9})
+    assert not store.was_published("late") and not store.was_published("early")
+
+
 def test_upsert_and_insert_absent(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     batch = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
