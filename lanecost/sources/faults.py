@@ -1,6 +1,6 @@
 """Shipments with known faults, to exercise the data rules on any amount of data.
 
-Weights in the order tables are whole kilograms from 1 to 50; each weight from 36
+Weights in the order tables are whole kilograms from 1 to 50; each weight from 33
 up stands for one kind of fault, so about a third of all rows gets one.
 """
 
@@ -13,35 +13,39 @@ from pyspark.sql import functions as F
 
 from lanecost.schemas import Star
 
-# Weight -> (column, SQL of its faulty value).
+# Weight -> (column, SQL of its faulty value): a missing amount, then a fault for each rule
+# from C5 to C19 by its number, a blank text and a missing key.
 FAULTS = {
-    50: ("weight_kg", "CAST(0 AS DECIMAL(12,2))"),
-    49: ("actual_mode", "'Rail'"),
-    48: ("expedited_flag", "2"),
-    47: ("modeled_baseline_inr", "CAST(7.77 AS DECIMAL(16,2))"),
-    46: ("base_freight_inr", "CAST(-0.01 AS DECIMAL(16,2))"),
-    45: ("fuel_surcharge_inr", "CAST(NULL AS DECIMAL(16,2))"),
-    44: ("actual_delivery_date", "DATE '1990-02-28'"),
-    43: ("promised_delivery_date", "DATE '1990-02-28'"),
-    42: ("data_type", "'MEASURED'"),
-    41: ("delay_reason", "CASE WHEN delay_reason = 'None' THEN 'Weather' ELSE 'None' END"),
-    40: ("carrier_id", "carrier_id + 1000000000"),
-    39: ("baseline_rate_inr_kg", "CAST(0 AS DECIMAL(12,2))"),
-    38: ("ship_date_key", "99999999"),
-    37: ("customer_id", "CAST(NULL AS BIGINT)"),
-    36: ("planned_mode", "'A mode with a long name'"),
-    35: ("baseline_fuel_inr", "CAST(-3 AS DECIMAL(16,2))"),
-    34: ("shipment_id", "' '"),
+    33: ("base_freight_inr", "CAST(NULL AS DECIMAL(16,2))"),
+    34: ("handling_charge_inr", "CAST(-250 AS DECIMAL(16,2))"),
+    35: ("ship_date_key", "19000101"),
+    36: ("promised_delivery_date", "DATE '1969-07-20'"),
+    37: ("weight_kg", "CAST(-weight_kg AS DECIMAL(12,2))"),
+    38: ("planned_mode", "concat(planned_mode, ' by pipeline')"),
+    39: ("expedited_flag", "expedited_flag - 2"),
+    40: ("baseline_handling_inr", "CAST(-0.5 AS DECIMAL(16,2))"),
+    41: ("modeled_baseline_inr", "CAST(0 AS DECIMAL(16,2))"),
+    42: ("baseline_fuel_inr", "CAST(baseline_fuel_inr + 1 AS DECIMAL(16,2))"),
+    43: ("route_id", "-route_id - 1"),
+    44: ("expedite_fee_inr", "CAST(expedite_fee_inr + 0.01 AS DECIMAL(16,2))"),
+    45: ("delay_reason", "'None'"),
+    46: ("delay_reason", "'Port congestion'"),
+    47: ("data_type", "lower(data_type)"),
+    48: ("actual_delivery_date", "DATE '2150-06-30'"),
+    49: ("actual_mode", "' '"),
+    50: ("customer_id", "CAST(NULL AS BIGINT)"),
 }
 
 
 def with_faults(fact: DataFrame) -> DataFrame:
     """The shipments with one fault in each row of the listed weights."""
-    faulty = {
-        column: f"CASE WHEN weight_kg = {weight} THEN {value} ELSE {column} END AS {column}"
-        for weight, (column, value) in FAULTS.items()
-    }
-    return fact.selectExpr(*[faulty.get(c, c) for c in fact.columns])
+    return fact.selectExpr(*[f"{fault_sql(c)} AS {c}" for c in fact.columns])
+
+
+def fault_sql(column: str) -> str:
+    """A column with its faults, in SQL."""
+    cases = [f"WHEN weight_kg = {w} THEN {value}" for w, (c, value) in FAULTS.items() if c == column]
+    return f"CASE {' '.join(cases)} ELSE {column} END" if cases else column
 
 
 def with_gaps(fact: DataFrame) -> DataFrame:

@@ -11,12 +11,13 @@ behind those are read and joined.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecost.functions.calendar import date_dimension, spanning_date_dimension
+from lanecost.functions.calendar import calendar_columns, spanning_date_dimension
 from lanecost.functions.scalars import key_of_date
 from lanecost.schemas import SCHEMAS, SYNTHETIC, TEXT_LIMITS, Star
 
@@ -96,8 +97,9 @@ def shipments(
     if "route_id" in wanted:
         supplier = source(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         df = df.join(supplier, df.l_suppkey == supplier.s_suppkey, "left")
+        df = df.withColumn("route_base", route_base(spark, sf_dir))
     else:
-        absent += ["int(NULL) AS s_nationkey"]
+        absent += ["int(NULL) AS s_nationkey", "int(NULL) AS route_base"]
 
     df = df.selectExpr("*", *absent)
     for step in _DERIVED:
@@ -121,7 +123,7 @@ _DERIVED: tuple[dict[str, str], ...] = (
         "shipment_id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)",
         "customer_id": "o_custkey",
         "carrier_id": "l_suppkey",
-        "route_id": "s_nationkey * 100 + c_nationkey",
+        "route_id": "IF(c_nationkey BETWEEN 0 AND route_base - 1, s_nationkey * route_base + c_nationkey, NULL)",
         "actual_days": "CAST(1 + (l_orderkey + l_partkey) % 30 AS INT)",
         "data_type": f"'{SYNTHETIC}'",
     },
@@ -186,14 +188,21 @@ def carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def route_base(spark: SparkSession, sf_dir: str) -> Column:
+    """The factor of the origin in a route key: more than any nation's key, so that no
+    two lanes share one. Asked for by the query that reads it."""
+    last = F.coalesce(F.max("n_nationkey"), F.lit(0))
+    return source(spark, sf_dir, "nation").agg(F.greatest(last + 1, F.lit(100)).alias("base")).scalar()
+
+
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lanes between nations. The route key holds the destination nation in its
-    last two digits, so each origin lists those hundred codes and an equi-join
-    keeps the ones that are nations."""
+    """Lanes between nations. Each origin lists the keys that a destination can have,
+    and an equi-join keeps the ones that are nations."""
     region = source(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("region"), F.col("r_name").alias("destination_country")
     )
     nation = source(spark, sf_dir, "nation")
+    base = route_base(spark, sf_dir)
     destination = nation.select(
         F.col("n_nationkey").alias("code"),
         F.col("n_name").alias("destination_city"),
@@ -203,10 +212,10 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("origin"),
         F.col("n_name").alias("origin_city"),
         F.col("n_regionkey").alias("origin_region"),
-        F.explode(F.sequence(F.lit(0), F.lit(99))).alias("code"),
-    )
+        base.alias("base"),
+    ).withColumn("code", F.explode(F.sequence(F.lit(0), F.col("base") - 1)))
     return origin.join(destination, "code", "inner").select(
-        (F.col("origin") * 100 + F.col("code")).cast("int").alias("route_id"),
+        (F.col("origin") * F.col("base") + F.col("code")).cast("int").alias("route_id"),
         "origin_city",
         "destination_city",
         "destination_country",
@@ -222,19 +231,20 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dispatch calendar for joins: the usual span, and all years from the first to the
-    last one in which something was shipped. Parquet statistics answer whether there is
-    any outside the span; the line items themselves are only read if so."""
-    first, last = CALENDAR_SPAN
-    shipped = F.col("l_shipdate").cast("date")
+    last one in which something was shipped. The years outside the span are asked for
+    when the calendar is, and Parquet statistics answer whether there are any; the line
+    items themselves are only read if so."""
+    first, last = (date.fromisoformat(d) for d in CALENDAR_SPAN)
     outside = source(spark, sf_dir, "lineitem").where(
         (F.col("l_shipdate") < F.lit(f"{first}").cast("timestamp_ntz"))
-        | (F.col("l_shipdate") >= F.lit(f"{int(last[:4]) + 1}-01-01").cast("timestamp_ntz"))
+        | (F.col("l_shipdate") >= F.lit(f"{last.year + 1}-01-01").cast("timestamp_ntz"))
     )
-    years = outside.agg(F.min(F.year(shipped)), F.max(F.year(shipped))).head()
-    if years[0] is not None:
-        first = f"{min(years[0], int(first[:4])):04d}-01-01"
-        last = f"{max(years[1], int(last[:4])):04d}-12-31"
-    return date_dimension(spark, first, last)
+    year = F.year("l_shipdate")
+    span = outside.agg(F.min(year).alias("low"), F.max(year).alias("high"))
+    one, twelve, end = F.lit(1), F.lit(12), F.lit(31)
+    start = F.make_date(F.least("low", F.lit(first.year)), one, one)
+    stop = F.make_date(F.greatest("high", F.lit(last.year)), twelve, end)
+    return span.select(F.explode(F.sequence(start, stop)).alias("day")).select(*calendar_columns(F.col("day")))
 
 
 def observed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ can be compared. ``star()`` prefixes a query with the star tables as CTEs.
 
 from __future__ import annotations
 
+from lanecost.sources.faults import FAULTS, fault_sql
+
 FACT = """
 b AS (
  SELECT l.*, o.o_custkey, s.s_nationkey, c.c_nationkey, n.n_regionkey,
@@ -40,7 +42,7 @@ SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)
         CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS shipment_id,
  CAST(year(ship_date)*10000+month(ship_date)*100+day(ship_date) AS INT) AS ship_date_key,
  o_custkey AS customer_id, l_suppkey AS carrier_id,
- CAST(s_nationkey*100+c_nationkey AS INT) AS route_id, planned_mode, actual_mode, weight_kg,
+ CAST(s_nationkey*(SELECT greatest(100,MAX(n_nationkey)+1) FROM nation)+c_nationkey AS INT) AS route_id, planned_mode, actual_mode, weight_kg,
  promised_delivery_date, actual_delivery_date,
  base_freight_inr, fuel_surcharge_inr, handling_charge_inr, expedite_fee_inr,
  CAST(base_freight_inr+fuel_surcharge_inr+handling_charge_inr+expedite_fee_inr
@@ -60,7 +62,8 @@ dim_customer AS (SELECT c_custkey AS customer_id, c_name AS customer_name,
   c_mktsegment AS segment, 'SYNTHETIC' AS data_type FROM customer),
 dim_carrier AS (SELECT s_suppkey AS carrier_id, s_name AS carrier_name,
   'SYNTHETIC' AS data_type FROM supplier),
-dim_route AS (SELECT CAST(a.n_nationkey*100+b.n_nationkey AS INT) AS route_id,
+dim_route AS (SELECT CAST(a.n_nationkey*
+  (SELECT greatest(100,MAX(n_nationkey)+1) FROM nation)+b.n_nationkey AS INT) AS route_id,
   a.n_name AS origin_city, b.n_name AS destination_city, r.r_name AS destination_country,
   CASE WHEN a.n_regionkey=b.n_regionkey THEN 'Domestic' ELSE 'Export' END AS route_type,
   CAST(0.8+0.2*b.n_regionkey AS DECIMAL(5,2)) AS rate_factor, 'SYNTHETIC' AS data_type
@@ -74,35 +77,33 @@ dim_date AS (SELECT CAST(strftime(day,'%Y%m%d') AS INT) AS date_key, day AS cale
 """
 
 MONTHLY = """
+compared AS (
+ SELECT *, actual_delivery_date-promised_delivery_date AS late_by,
+  recorded_freight_inr-modeled_baseline_inr AS excess FROM fact_shipment f),
 analysis AS (
-SELECT f.*, d.calendar_date AS ship_date, d.year_month,
- c.customer_name, c.segment, k.carrier_name,
- r.origin_city, r.destination_city, r.destination_country, r.route_type,
- CASE WHEN actual_delivery_date IS NULL OR promised_delivery_date IS NULL THEN NULL
-      ELSE CAST(greatest(date_diff('day', promised_delivery_date, actual_delivery_date), 0) AS INT)
-      END AS delay_days,
- CASE WHEN actual_delivery_date<=promised_delivery_date THEN 1 ELSE 0 END AS on_time_flag,
- CAST(recorded_freight_inr-modeled_baseline_inr AS DECIMAL(17,2)) AS cost_variance_inr,
- CAST(recorded_freight_inr-modeled_baseline_inr AS DOUBLE)
-  / NULLIF(CAST(modeled_baseline_inr AS DOUBLE),0) AS cost_variance_ratio
-FROM fact_shipment f
-JOIN dim_date d ON f.ship_date_key=d.date_key
-JOIN dim_customer c ON f.customer_id=c.customer_id
-JOIN dim_carrier k ON f.carrier_id=k.carrier_id
-JOIN dim_route r ON f.route_id=r.route_id),
+ SELECT compared.* EXCLUDE (late_by, excess), calendar_date AS ship_date, year_month,
+  origin_city, destination_city, destination_country, route_type,
+  customer_name, segment, carrier_name,
+  CAST(CASE WHEN late_by>0 THEN late_by WHEN late_by<=0 THEN 0 END AS INT) AS delay_days,
+  CAST(COALESCE(late_by<=0, FALSE) AS INT) AS on_time_flag,
+  CAST(excess AS DECIMAL(17,2)) AS cost_variance_inr,
+  excess::DOUBLE/NULLIF(modeled_baseline_inr::DOUBLE, 0) AS cost_variance_ratio
+ FROM dim_route JOIN compared USING (route_id) JOIN dim_date ON date_key=ship_date_key
+ JOIN dim_carrier USING (carrier_id) JOIN dim_customer USING (customer_id)),
+daily AS (
+ SELECT ship_date, year_month, COUNT(*) AS n, SUM(on_time_flag) AS punctual, SUM(expedited_flag) AS urgent,
+  SUM(expedite_fee_inr) AS fees, SUM(weight_kg) AS kg, SUM(recorded_freight_inr) AS paid,
+  SUM(modeled_baseline_inr) AS planned FROM analysis GROUP BY ALL),
 monthly AS (
-SELECT year_month, COUNT(*) AS shipments,
- CAST(SUM(recorded_freight_inr) AS DECIMAL(26,2)) AS recorded_freight_inr,
- CAST(SUM(modeled_baseline_inr) AS DECIMAL(26,2)) AS modeled_baseline_inr,
- CAST(SUM(cost_variance_inr) AS DECIMAL(26,2)) AS cost_variance_inr,
- CAST(SUM(cost_variance_inr) AS DOUBLE)/NULLIF(CAST(SUM(modeled_baseline_inr) AS DOUBLE),0)
-  AS cost_variance_ratio,
- CAST(SUM(recorded_freight_inr) AS DOUBLE)/NULLIF(CAST(SUM(weight_kg) AS DOUBLE),0)
-  AS freight_per_kg_inr,
- AVG(on_time_flag) AS on_time_delivery_ratio,
- CAST(SUM(expedite_fee_inr) AS DECIMAL(26,2)) AS expedite_fees_inr,
- CAST(SUM(expedited_flag) AS BIGINT) AS expedited_shipments
-FROM analysis GROUP BY year_month)
+ SELECT year_month, CAST(SUM(n) AS BIGINT) AS shipments, CAST(SUM(urgent) AS BIGINT) AS expedited_shipments,
+  CAST(SUM(fees) AS DECIMAL(26,2)) AS expedite_fees_inr,
+  CAST(SUM(paid) AS DECIMAL(26,2)) AS recorded_freight_inr,
+  CAST(SUM(planned) AS DECIMAL(26,2)) AS modeled_baseline_inr,
+  CAST(SUM(paid)-SUM(planned) AS DECIMAL(26,2)) AS cost_variance_inr,
+  (SUM(paid)-SUM(planned))::DOUBLE/NULLIF(SUM(planned)::DOUBLE, 0) AS cost_variance_ratio,
+  SUM(paid)::DOUBLE/NULLIF(SUM(kg)::DOUBLE, 0) AS freight_per_kg_inr,
+  SUM(punctual)::DOUBLE/SUM(n)::DOUBLE AS on_time_delivery_ratio
+ FROM daily GROUP BY year_month)
 """
 
 
@@ -159,32 +160,10 @@ MEASURE = {
 def measure_list(names) -> str:
     return ", ".join(f"{MEASURE[n]} AS {n}" for n in names)
 
-# Shipments with the known faults: weight -> column and value.
-FAULTS = {
-    50: ("weight_kg", "CAST(0 AS DECIMAL(12,2))"),
-    49: ("actual_mode", "'Rail'"),
-    48: ("expedited_flag", "2"),
-    47: ("modeled_baseline_inr", "CAST(7.77 AS DECIMAL(16,2))"),
-    46: ("base_freight_inr", "CAST(-0.01 AS DECIMAL(16,2))"),
-    45: ("fuel_surcharge_inr", "NULL"),
-    44: ("actual_delivery_date", "DATE '1990-02-28'"),
-    43: ("promised_delivery_date", "DATE '1990-02-28'"),
-    42: ("data_type", "'MEASURED'"),
-    41: ("delay_reason", "CASE WHEN delay_reason='None' THEN 'Weather' ELSE 'None' END"),
-    40: ("carrier_id", "carrier_id+1000000000"),
-    39: ("baseline_rate_inr_kg", "CAST(0 AS DECIMAL(12,2))"),
-    38: ("ship_date_key", "99999999"),
-    37: ("customer_id", "NULL"),
-    36: ("planned_mode", "'A mode with a long name'"),
-    35: ("baseline_fuel_inr", "CAST(-3 AS DECIMAL(16,2))"),
-    34: ("shipment_id", "' '"),
-}
+# The same faulty input as the queries read.
 FAULTY = (
     "faulty AS (SELECT * REPLACE ("
-    + ", ".join(
-        f"CASE WHEN weight_kg={w} THEN {value} ELSE {column} END AS {column}"
-        for w, (column, value) in FAULTS.items()
-    )
+    + ", ".join(f"{fault_sql(c)} AS {c}" for c in dict.fromkeys(c for c, _ in FAULTS.values()))
     + ") FROM fact_shipment)"
 )
 
@@ -324,7 +303,7 @@ def findings(table: str, source: str, shipment_id_limit: int = 80) -> str:
     ]
     for c in ("shipment_id", "planned_mode", "actual_mode", "delay_reason", "data_type"):
         rules.append(("C21", c, f"trim({c})=''", f"'fact_shipment.{c} must not be blank'"))
-    for c in ("customer_id", "fuel_surcharge_inr"):
+    for c in ("customer_id", "base_freight_inr"):
         rules.append(("C23", c, f"{c} IS NULL", f"'fact_shipment.{c} must not be null'"))
     rows = " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, {sid} AS row_key, '{rule}' AS rule, "
