@@ -25,7 +25,7 @@ from lanecost.plans.load import Store, load, run_states
 from lanecost.schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES
 from lanecost.sources.csv_files import (
     malformed_records,
-    require_well_formed,
+    read_csv,
     scan_csv,
     write_csv,
 )
@@ -857,7 +857,7 @@ def csv_scan_roundtrip(spark, sf_dir):
     fact = shipments(spark, sf_dir)
     path = f"{shared_folder(spark, 'csv')}/fact_shipment.csv"
     write_csv(fact.select(*reversed(fact.columns)), path)
-    text = require_well_formed(scan_csv(spark, path, fact.columns), "fact_shipment.csv")
+    text = read_csv(spark, path, fact.columns, "fact_shipment.csv")
     return convert(text, "fact_shipment", fact.schema).accepted()
 
 
@@ -896,7 +896,7 @@ def csv_rejects(spark, sf_dir):
     fact = shipments(spark, sf_dir)
     path = f"{shared_folder(spark, 'csv')}/fact_shipment.csv"
     write_csv(as_text_with_faults(fact), path)
-    text = require_well_formed(scan_csv(spark, path, fact.columns), "fact_shipment.csv")
+    text = read_csv(spark, path, fact.columns, "fact_shipment.csv")
     found = convert(text, "fact_shipment", fact.schema).rejects()
     # A blank may be read as an empty or a missing value.
     return found.withColumn("raw", F.nullif("raw", F.lit("")))

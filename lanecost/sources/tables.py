@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lanecost.operators.convert import convert
 from lanecost.schemas import SCHEMAS, TABLES, Star
-from lanecost.sources.csv_files import require_well_formed, scan_csv
+from lanecost.sources.csv_files import read_csv
 
 
 def _as_declared(df: DataFrame, table: str) -> DataFrame:
@@ -40,8 +40,8 @@ def tables_from_csv(spark: SparkSession, root: str) -> tuple[dict, dict]:
     typed, rejected = {}, {}
     for table in TABLES:
         columns = SCHEMAS[table].fieldNames()
-        scanned = scan_csv(spark, f"{root}/{table}.csv", columns)
-        converted = convert(require_well_formed(scanned, f"{table}.csv"), table)
+        text = read_csv(spark, f"{root}/{table}.csv", columns, f"{table}.csv")
+        converted = convert(text, table)
         typed[table] = converted.accepted()
         rejected[table] = converted.rejects()
     return typed, rejected
