@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 import oracle
 from lanecost.functions.calendar import auto_calendar
-from lanecost.functions.scalars import count_where
+from lanecost.functions.scalars import count_where, date_of_key, key_of_date
 from lanecost.functions.shipments import is_late
-from lanecost.operators import rules
+from lanecost.operators import fingerprints, rules
 from lanecost.operators.convert import convert
 from lanecost.operators.drill import ROLES, drill_down
 from lanecost.operators.fingerprints import file_fingerprints
@@ -646,6 +646,19 @@ def dispatch_months(spark, sf_dir):
     return rules.month_count(order_star(spark, sf_dir, ["ship_date_key"]))
 
 
+@register(
+    "month_finding",
+    oracle.star(
+        """SELECT 'fact_shipment' AS table_name, CAST(NULL AS VARCHAR) AS row_key, 'C20' AS rule,
+          'ship_date_key' AS column_name, 'fact_shipment covers ' || n || ' months instead of 20' AS message
+        FROM (SELECT COUNT(DISTINCT ship_date_key//100) AS n FROM fact_shipment) WHERE n<>20"""
+    ),
+)
+def month_finding(spark, sf_dir):
+    star = order_star(spark, sf_dir, ["ship_date_key"])
+    return rules.month_findings(star, 20).select(*rules.FINDING_COLUMNS)
+
+
 @register("faulty_quality_checks", oracle.star(_CHECKS.format(table="faulty", more=_MORE_CHECKS), oracle.FAULTY))
 def faulty_quality_checks(spark, sf_dir):
     return quality.quality_checks(_faulty_star(spark, sf_dir))
@@ -768,13 +781,12 @@ def incremental_batch(spark, sf_dir):
 
     weather = "delay_reason = 'Weather'"
     later = {
-        "ship_date_key": "CAST(date_format(date_add(to_date(CAST(ship_date_key AS STRING), "
-        "'yyyyMMdd'), 31), 'yyyyMMdd') AS INT)",
-        "promised_delivery_date": "date_add(promised_delivery_date, 31)",
-        "actual_delivery_date": "date_add(actual_delivery_date, 31)",
+        "ship_date_key": key_of_date(F.date_add(date_of_key(F.col("ship_date_key")), 31)),
+        "promised_delivery_date": F.date_add("promised_delivery_date", 31),
+        "actual_delivery_date": F.date_add("actual_delivery_date", 31),
     }
-    batch = fact.where(f"expedited_flag = 1 OR {weather}").selectExpr(
-        *[f"IF({weather}, {later[c]}, {c}) AS {c}" if c in later else c for c in fact.columns]
+    batch = fact.where(f"expedited_flag = 1 OR {weather}").withColumns(
+        {c: F.when(F.expr(weather), value).otherwise(F.col(c)) for c, value in later.items()}
     )
     batch_tables = {"fact_shipment": batch}
     load(store, batch_tables, whole=False, text_limits=SHIPMENT_TEXT_LIMITS)
@@ -949,6 +961,31 @@ def file_fingerprint(spark, sf_dir):
     return file_fingerprints(spark, path).select(block.alias("block"), "sha256")
 
 
+_SUMS = ", ".join(
+    f"CAST(COALESCE(SUM(('0x' || substr(h,{1 + 7 * k},7))::BIGINT::HUGEINT*b{k}%{fingerprints.MODULUS}),0)%{fingerprints.MODULUS} AS BIGINT)"
+    for k in range(4)
+)
+
+
+@register(
+    "file_digest",
+    f"""WITH RECURSIVE powers AS (SELECT 0 AS n, 1::BIGINT AS b0, 1::BIGINT AS b1, 1::BIGINT AS b2, 1::BIGINT AS b3
+      UNION ALL SELECT n+1, {", ".join(f"b{k}*{b}%{fingerprints.MODULUS}" for k, b in enumerate(fingerprints.BASES))}
+      FROM powers WHERE n<(SELECT COUNT(*) FROM customer)),
+    told AS (SELECT 0 AS n, 'customer_id,customer_name,segment,data_type' AS line UNION ALL
+      SELECT row_number() OVER (ORDER BY c_custkey), c_custkey || ',' || c_name || ',' || c_mktsegment || ',SYNTHETIC' FROM customer)
+    SELECT CAST(SUM(octet_length(encode(line))+1) AS BIGINT) AS bytes, COUNT(*) AS lines,
+      sha256(concat_ws(':', COUNT(*), 1, {_SUMS})) AS digest
+    FROM (SELECT *, sha256(line) AS h FROM told) JOIN powers USING (n)""",
+)
+def file_digest(spark, sf_dir):
+    """All customers in one CSV file, however large; its digest by lines."""
+    path = shared_folder(spark, "export")
+    # Ranges in order, one task per file: the file itself is what is fingerprinted.
+    customers(spark, sf_dir).coalesce(1).sortWithinPartitions("customer_id").write.option("header", True).csv(path)
+    return fingerprints.file_digests(spark, path).select("bytes", "lines", "digest")
+
+
 @register(
     "table_fingerprint",
     oracle.star(
@@ -965,11 +1002,6 @@ def table_fingerprint(spark, sf_dir):
     return fingerprint(shipments(spark, sf_dir), portable=True)
 
 
-@register("table_fingerprint_fast")
-def table_fingerprint_fast(spark, sf_dir):
-    return fingerprint(shipments(spark, sf_dir))
-
-
 @register(
     "dataset_profile",
     oracle.star(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanecost.sources.folders import shared_folder
+
 
 def sequential_ids(
     df: DataFrame,
@@ -14,53 +14,33 @@ def sequential_ids(
     tie_break: str,
     prefix: str = "SIM-",
     digits: int = 5,
-    bucket_rows: int = 50_000,
 ) -> DataFrame:
     """Adds ``sequence_id``: ``prefix`` and the row's position, from 1, by
     ``order_by``. Rows with equal ``order_by`` follow the MD5 of ``tie_break``
-    (unique per row), so the result does not depend on the order of the input.
+    (unique per row), so the result does not depend on the order of the input. Rows
+    without an order value come first.
 
-    A position is the rows before its order value, plus the rows before its
-    bucket within the value, plus the rank in the bucket. Buckets, the first hex
-    digits of the MD5, evenly split a value that holds a large part of all rows; as
-    many digits are used as the largest value needs for about ``bucket_rows`` a
-    bucket. Only the sizes of buckets are ever ordered across them.
+    Rows are dealt once, by ranges of value and MD5, so a value that holds a large part
+    of them is cut like any other range. They are written in that order; a row's number is
+    its place in its task and the rows of the tasks before, of which only the counts, one
+    per task, are added up.
     """
-    largest = df.groupBy(order_by).count().agg(F.max("count")).head()[0] or 1
-    bucket_digits = max(1, math.ceil(math.log(max(1.0, largest / bucket_rows), 16)))
-    hashed = df.withColumn("_hash", F.md5(F.col(tie_break).cast("string"))).withColumn(
-        "_bucket", F.substring("_hash", 1, bucket_digits)
-    )
-    sizes = hashed.groupBy(order_by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    per_value = sizes.groupBy(order_by).agg(F.sum("_size").alias("_total"))
-    # One row per distinct order value (a day): small enough for a single task.
-    values = per_value.select(
-        order_by,
-        F.coalesce(
-            F.sum("_total").over(
-                Window.orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_before_value"),
-    )
-    within = Window.partitionBy(order_by).orderBy("_bucket")
-    preceding = F.sum("_size").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    buckets = sizes.select(
-        F.col(order_by).alias("_value"),
-        F.col("_bucket").alias("_of"),
-        F.coalesce(preceding, F.lit(0)).alias("_before_bucket"),
-    )
-    # Null-safe, so that rows without an order value are numbered too, first.
-    offsets = buckets.join(values, F.col("_value").eqNullSafe(F.col(order_by))).drop(order_by)
-    rank = F.row_number().over(
-        Window.partitionBy(order_by, "_bucket").orderBy("_hash", tie_break)
-    )
-    position = F.col("_before_value") + F.col("_before_bucket") + F.col("_rank")
-    number = position.cast("string")
+    taken = {c.lower() for c in df.columns}
+    hashed, place = (next(n for n in (f"{'_' * i}{c}" for i in range(1, 99)) if n not in taken) for c in ("hash", "place"))
+    by = [order_by, hashed, tie_break]
+    rows = df.withColumn(hashed, F.md5(F.col(tie_break).cast("string")))
+    rows = rows.repartitionByRange(*by).sortWithinPartitions(*by).drop(hashed)
+    rows = rows.withColumn(place, F.monotonically_increasing_id())
+    spark = df.sparkSession
+    path = shared_folder(spark, "numbered")
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+
+    task = F.shiftright(place, 33)
+    counts = rows.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select("task", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
+    number = (F.col(place) + F.col("shift")).cast("string")
     padded = F.when(F.length(number) < digits, F.lpad(number, digits, "0")).otherwise(number)
-    same = F.col(order_by).eqNullSafe(F.col("_value")) & (F.col("_bucket") == F.col("_of"))
-    return (
-        hashed.withColumn("_rank", rank)
-        .join(offsets, same)
-        .select(*df.columns, F.concat(F.lit(prefix), padded).alias("sequence_id"))
-    )
+    placed = rows.join(shifts, task == F.col("task"))
+    return placed.select(*(rows[c] for c in df.columns), F.concat(F.lit(prefix), padded).alias("sequence_id"))

@@ -32,7 +32,7 @@ FAULTS = {
     46: ("delay_reason", "'Port congestion'"),
     47: ("data_type", "lower(data_type)"),
     48: ("actual_delivery_date", "DATE '2150-06-30'"),
-    49: ("actual_mode", "' '"),
+    49: ("actual_mode", "concat(chr(9), ' ')"),
     50: ("customer_id", "CAST(NULL AS BIGINT)"),
 }
 

@@ -10,7 +10,7 @@ behind those are read and joined.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date
 from decimal import Decimal
 
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lanecost.functions.calendar import calendar_columns, spanning_date_dimension
 from lanecost.functions.scalars import key_of_date
+from lanecost.functions.shipments import modeled_baseline, recorded_freight
 from lanecost.schemas import SCHEMAS, SYNTHETIC, TEXT_LIMITS, Star
 
 SHIPMENT_COLUMNS = tuple(SCHEMAS["fact_shipment"].fieldNames())
@@ -103,13 +104,13 @@ def shipments(
 
     df = df.selectExpr("*", *absent)
     for step in _DERIVED:
-        df = df.selectExpr("*", *[f"{expr} AS {name}" for name, expr in step.items()])
+        df = df.withColumns({name: F.expr(value) if isinstance(value, str) else value() for name, value in step.items()})
     return df.select(*[c for c in SHIPMENT_COLUMNS if c in wanted])
 
 
 # Shipment columns from the joined row, each step using the ones before it.
 # Catalyst drops whatever a query does not select.
-_DERIVED: tuple[dict[str, str], ...] = (
+_DERIVED: tuple[dict[str, str | Callable[[], Column]], ...] = (
     {
         "ship_date": "CAST(l_shipdate AS DATE)",
         "planned_mode": "CASE WHEN o_orderpriority = '1-URGENT' THEN 'Air' "
@@ -146,10 +147,10 @@ _DERIVED: tuple[dict[str, str], ...] = (
         "baseline_fuel_inr": "CAST(round(planned_base_inr * 0.12, 2) AS DECIMAL(16,2))",
     },
     {
-        "recorded_freight_inr": "CAST(base_freight_inr + fuel_surcharge_inr "
-        "+ handling_charge_inr + expedite_fee_inr AS DECIMAL(16,2))",
-        "modeled_baseline_inr": "CAST(planned_base_inr + baseline_fuel_inr "
-        "+ baseline_handling_inr AS DECIMAL(16,2))",
+        "recorded_freight_inr": recorded_freight,
+        "modeled_baseline_inr": lambda: modeled_baseline(
+            F.col("planned_base_inr"), F.col("baseline_fuel_inr"), F.col("baseline_handling_inr")
+        ),
         "delay_reason": "CASE WHEN actual_delivery_date <= promised_delivery_date THEN 'None' "
         "WHEN l_linenumber % 3 = 0 THEN 'Weather' "
         "WHEN l_linenumber % 3 = 1 THEN 'Capacity constraint' ELSE 'Documentation' END",

@@ -302,7 +302,7 @@ def findings(table: str, source: str, shipment_id_limit: int = 80) -> str:
         ),
     ]
     for c in ("shipment_id", "planned_mode", "actual_mode", "delay_reason", "data_type"):
-        rules.append(("C21", c, f"trim({c})=''", f"'fact_shipment.{c} must not be blank'"))
+        rules.append(("C21", c, f"regexp_full_match({c}, '\\s*')", f"'fact_shipment.{c} must not be blank'"))
     for c in ("customer_id", "base_freight_inr"):
         rules.append(("C23", c, f"{c} IS NULL", f"'fact_shipment.{c} must not be null'"))
     rows = " UNION ALL ".join(

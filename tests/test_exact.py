@@ -52,7 +52,7 @@ def test_decimals_with_too_many_digits_are_rejected(spark):
 
 
 def test_blank_texts_are_found(spark):
-    rows = [shipment(1, shipment_id=" "), shipment(2, delay_reason="", actual_delivery_date=date(2025, 1, 19))]
+    rows = [shipment(1, shipment_id=" \t\u2003"), shipment(2, delay_reason="", actual_delivery_date=date(2025, 1, 19))]
     star = Star.of({**dimensions(spark), "fact_shipment": table(spark, "fact_shipment", rows)})
     found = {(r.rule, r.column_name) for r in rules.violations(star).collect()}
     assert found == {("C21", "shipment_id"), ("C21", "delay_reason")}

@@ -1,7 +1,7 @@
 import json
 import random
 from decimal import Decimal
-from hashlib import md5
+from hashlib import md5, sha256
 
 import pytest
 from conftest import dimensions, late, rows_of, shipment, star_of
@@ -31,11 +31,53 @@ def test_date_table_matches_its_fingerprint(spark, tmp_path):
     assert dos["sha256"] == DATES_2025_2026
 
 
-def test_large_files_are_refused(spark, tmp_path, monkeypatch):
+def test_large_files_have_no_fingerprint_of_the_whole(spark, tmp_path, monkeypatch):
     (tmp_path / "a.csv").write_text("0123456789")
+    (tmp_path / "b.csv").write_text("0123")
     monkeypatch.setattr(fingerprints, "MAX_FILE_BYTES", 5)
-    with pytest.raises(Exception, match="too large to hash"):
-        fingerprints.file_fingerprints(spark, str(tmp_path)).collect()
+    found = {r.path[-5:]: r.sha256 for r in fingerprints.file_fingerprints(spark, str(tmp_path)).collect()}
+    assert found == {"a.csv": None, "b.csv": sha256(b"0123").hexdigest()}
+
+
+def digest_of(text: bytes):
+    lines = text.split(b"\n")
+    ended = not lines[-1]
+    lines = lines[:-1] if ended else lines
+    sums = [0] * 4
+    for i, line in enumerate(lines):
+        h = sha256(line.removesuffix(b"\r")).hexdigest()
+        for k, base in enumerate(fingerprints.BASES):
+            sums[k] += int(h[7 * k : 7 * k + 7], 16) * pow(base, i, fingerprints.MODULUS)
+    told = ":".join(map(str, [len(lines), int(ended), *(s % fingerprints.MODULUS for s in sums)]))
+    return len(text), len(lines), sha256(told.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("split", [17, 1000, 1 << 20])
+def test_digests_of_files_do_not_depend_on_their_splits(spark, tmp_path, split):
+    rng = random.Random(3)
+    body = b"\n".join(rng.randbytes(rng.randrange(30)).replace(b"\n", b"").replace(b"\r", b"") for _ in range(400))
+    texts = {"a": body, "b": body + b"\n", "c": body.replace(b"\n", b"\r\n"), "d": b"", "e": b"\n", "f": b"x" * 5000, "g": body[::-1]}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = fingerprints.file_digests(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    found = {r.path[-5]: (r.bytes, r.lines, r.digest) for r in rows}
+    assert found == {name: digest_of(text) for name, text in texts.items() if text}
+    assert found["a"][2] == found["c"][2] and len({f[2] for f in found.values()}) == 5
+
+
+def test_a_file_above_the_limit_is_digested_by_several_tasks(spark, tmp_path):
+    """More than 256 MB, without a whole-file hash."""
+    path = str(tmp_path / "large")
+    spark.range(0, 2_700_000, 1, 1).selectExpr("concat(id, repeat('x', 95)) AS value").write.option("compression", "none").text(path)
+    (row,) = fingerprints.file_digests(spark, path, "*.txt").collect()
+    assert row.bytes > fingerprints.MAX_FILE_BYTES and row.lines == 2_700_000
+    assert spark.read.text(path).rdd.getNumPartitions() > 1
+    assert fingerprints.file_fingerprints(spark, path, "*.txt").head().sha256 is None
 
 
 @pytest.mark.parametrize("portable", [False, True])
