@@ -183,9 +183,25 @@ def where_members(star: Star, filters: Mapping[str, Iterable] | None) -> DataFra
     return fact
 
 
+# What maintained parts are kept by, besides the month.
+CUBE_KEYS = ("carrier_id", "route_id", "actual_mode", "delay_reason")
+
+
+def cube(fact: DataFrame, month: str = MONTH) -> DataFrame:
+    """All parts by month and :data:`CUBE_KEYS`, in place of the shipments wherever these
+    are grouped and filtered by nothing else. Days are kept as the first of their month,
+    for calendars of whole months."""
+    first = F.expr(f"{month} * 100 + 1").alias("ship_date_key")
+    found = fact.groupBy(month, *CUBE_KEYS).agg(*[part.compute().cast(part.kind).alias(p) for p, part in PARTS.items()])
+    return found.select(first, "*")
+
+
 def parts_by(fact: DataFrame, keys: Sequence, names: Sequence[str]) -> DataFrame:
-    """The parts the named measures need, aggregated by shipment keys."""
+    """The parts the named measures need, aggregated by shipment keys; summed up where
+    ``fact`` is a :func:`cube`."""
     parts = dict.fromkeys(p for name in names for p in MEASURES[name])
+    if set(PARTS) <= set(fact.columns):
+        return fact.groupBy(*keys).agg(*[F.sum(p).cast(PARTS[p].kind).alias(p) for p in parts])
     return fact.groupBy(*keys).agg(
         *[PARTS[p].compute().cast(PARTS[p].kind).alias(p) for p in parts]
     )
