@@ -38,7 +38,8 @@ LANE = 256
 BLOCK_IDS = 1 << 18
 """A block ends with the document that reaches so many ids; documents are not split."""
 ROWS = 1_000
-PART_BYTES = 16 << 20
+PART_IDS = 4 << 20
+"""Ids of a part on average."""
 FIRST = "\ue000"
 """Marks the chunk that begins a text; texts that hold the character themselves take the plain way."""
 _REGULAR = re.compile(r"(?<=\S) (?=\S)")
@@ -206,67 +207,60 @@ class Decoder:
         return out.T.reshape(-1)[:n]
 
 
-def token_rows(docs: DataFrame, path: str, end: int, key: str = "doc_id", text: str = "text", parts: int = 1) -> DataFrame:
-    """part, start, key, ids: the ids of every text and the end id, as little-endian
-    16-bit or 32-bit integers, in ascending order of key inside each part and from part
-    to part, null keys first; start counts the ids before it in its part. Written."""
+def token_rows(docs: DataFrame, path: str, end: int, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, np.ndarray]:
+    """key, ids of every text and how often each id occurs in all of them. ids ends with
+    the end id and holds little-endian integers of :func:`width` bytes.
+
+    Texts become ids where they are read, and are counted in the same pass: written are a
+    row for each text and one for each id of a task. One row per task and id is shuffled,
+    one per id comes to the driver."""
     narrow = docs.select(key, text)
-    # ties: rows of one key lie in one part, in order of their text
-    dealt = narrow.repartitionByRange(parts, F.col(key).asc_nulls_first()).sortWithinPartitions(
-        F.col(key).asc_nulls_first(), text
-    )
+    kind = _kind(path, end)
     schema = T.StructType([
-        T.StructField("part", T.IntegerType()),
-        T.StructField("start", T.LongType()),
         T.StructField("key", docs.schema[key].dataType),
         T.StructField("ids", T.BinaryType()),
+        T.StructField("id", T.LongType()),
+        T.StructField("n", T.LongType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, start = TaskContext.get().partitionId(), 0
+        total, keys = np.zeros(0, np.int64), None
         for batch in batches:
+            keys = batch.schema.field(0).type
             for i in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(i, ROWS)
                 ids, stops = tokenize([t or "" for t in rows.column(1).to_pylist()], path)
-                out, starts = [], []
-                for a, b in pairwise([0, *stops]):
-                    out.append(np.append(ids[a:b], end).astype("<u4").tobytes())
-                    starts.append(start)
-                    start += int(b - a) + 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * len(out), pa.int32()), pa.array(starts, pa.int64()), rows.column(0), pa.array(out, pa.binary())],
-                    schema.names,
-                )
-
-    return written(dealt.mapInArrow(run, schema), "token-ids")
-
-
-def id_counts(rows: DataFrame) -> np.ndarray:
-    """How often each id occurs in all rows, by id. One row per task and id is shuffled,
-    one per id comes to the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for i in range(0, batch.num_rows, ROWS):
-                ids = np.frombuffer(b"".join(batch.column(0).slice(i, ROWS).to_pylist()), "<u4")
-                found = np.bincount(ids, minlength=len(total))
+                found = np.bincount(ids, minlength=max(len(total), end + 1))
+                found[end] += len(stops)
                 found[: len(total)] += total
                 total = found
+                out = [np.append(ids[a:b], end).astype(kind).tobytes() for a, b in pairwise([0, *stops])]
+                none = pa.nulls(len(out), pa.int64())
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(out, pa.binary()), none, none], schema.names)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
+        if len(at):
+            none = [pa.nulls(len(at), keys), pa.nulls(len(at), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], schema.names)
 
-    got = rows.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(max((r["id"] for r in got), default=-1) + 1, np.int64)
+    rows = written(narrow.mapInArrow(run, schema), "token-ids")
+    got = rows.where("id IS NOT NULL").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(max((r["id"] for r in got), default=-1) + 1, np.int64)
     for r in got:
-        out[r["id"]] = r["n"]
-    return out
+        counts[r["id"]] = r["n"]
+    return rows.where("id IS NULL").select("key", "ids"), counts
+
 
+def _kind(path: str, end: int) -> str:
+    """The type of stored ids: 16 bits where all of them fit."""
+    return "<u2" if max(tokenizer(path).get_vocab_size(), end + 1) <= 1 << 16 else "<u4"
 
-def write_ids(rows: DataFrame, folder: str, longest: int = LONGEST, block_ids: int = BLOCK_IDS) -> None:
-    """Codes the rows of ``token_rows`` into a folder."""
+
+def write_ids(rows: DataFrame, counts: np.ndarray, kind: str, folder: str, longest: int = LONGEST, block_ids: int = BLOCK_IDS) -> None:
+    """Codes the rows of :func:`token_rows` into a folder, in ascending order of key, null
+    keys first, rows of one key by a hash of their ids. ``kind`` is the type of their ids.
+    Rows are dealt by ranges, so that many of one key are several parts."""
     spark = rows.sparkSession
-    lengths = code_lengths(id_counts(rows), longest)
+    lengths = code_lengths(counts, longest)
     code = spark.sparkContext.broadcast(lengths)
     key = rows.schema["key"].dataType
     schema = T.StructType([
@@ -277,38 +271,51 @@ def write_ids(rows: DataFrame, folder: str, longest: int = LONGEST, block_ids: i
         T.StructField("payload", T.BinaryType()),
         T.StructField("offsets", T.BinaryType()),
     ])
-    kinds = [pa.int32(), pa.int64(), None, pa.list_(pa.int64()), pa.binary(), pa.binary()]
+    size = np.dtype(kind).itemsize
+    parts = max(1, -(-int(counts.sum()) // PART_IDS))
+    order = [F.col("key").asc_nulls_first(), F.xxhash64("ids").asc(), F.col("ids").asc()]
+    dealt = rows.repartitionByRange(parts, *order[:2]).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Code(code.value)
-        held: list[tuple[int, int, pa.Scalar, bytes]] = []
-        size = 0
-
-        def block(kind: pa.DataType) -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(x[3] for x in held), "<u4")
-            payload, offsets = coder.encode(ids)
-            values = [held[0][0], held[0][1], [x[2] for x in held], [len(x[3]) // 4 for x in held], payload, offsets.tobytes()]
-            types = [*kinds[:2], pa.list_(kind), *kinds[3:]]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], schema.names)
+        part, first, held = TaskContext.get().partitionId(), 0, 0
+        keys: list[pa.Array] = []
+        ids: list[bytes] = []
+
+        def block() -> pa.RecordBatch:
+            of_key = pa.concat_arrays(keys)
+            sizes = np.array([len(x) // size for x in ids])
+            payload, offsets = coder.encode(np.frombuffer(b"".join(ids), kind).astype(np.int64))
+            columns = [pa.array([part], pa.int32()), pa.array([first], pa.int64())]
+            columns += [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (of_key, pa.array(sizes, pa.int64()))]
+            columns += [pa.array([payload], pa.binary()), pa.array([offsets.tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, schema.names)
 
-        kind = None
         for batch in batches:
-            kind = batch.schema.field("key").type
-            columns = [batch.column(c).to_pylist() for c in ("part", "start", "key", "ids")]
-            for row in zip(*columns, strict=True):
-                if held and (size >= block_ids or row[0] != held[-1][0] or row[1] != held[-1][1] + len(held[-1][3]) // 4):
-                    yield block(kind)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[3]) // 4
-        if held:
-            yield block(kind)
-
-    rows.mapInArrow(run, schema).write.option("compression", "none").parquet(f"{folder}/blocks")
+            texts = batch.column("ids").to_pylist()
+            ends = held + np.cumsum([len(x) // size for x in texts])
+            at = 0
+            while at < len(texts):
+                stop = min(int(np.searchsorted(ends, block_ids)) + 1, len(texts))
+                keys.append(batch.column("key").slice(at, stop - at))
+                ids += texts[at:stop]
+                held = int(ends[stop - 1])
+                if held >= block_ids:
+                    yield block()
+                    first += held
+                    ends = ends - held
+                    keys, ids, held = [], [], 0
+                at = stop
+        if ids:
+            yield block()
+
+    dealt.mapInArrow(run, schema).write.option("compression", "none").parquet(f"{folder}/blocks")
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy("part").agg(F.sum(F.octet_length("ids") / 4).cast("long").alias("n"))
-    parts = sums.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
-    parts.write.parquet(f"{folder}/parts")
+    blocks = spark.read.schema(schema).parquet(f"{folder}/blocks")
+    total = F.aggregate("lengths", F.lit(0).cast("long"), lambda n, x: n + x)
+    sums = blocks.groupBy("part").agg(F.sum(total).alias("n"))
+    before = sums.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    before.write.parquet(f"{folder}/parts")
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").write.parquet(f"{folder}/codes")
 
 
@@ -351,22 +358,19 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(parts, "part").select("key", (F.col("start") + F.col("before")).alias("start"), "ids")
 
 
-def round_trip(docs: DataFrame, path: str, end: int = 2, key: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, end: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, start, n_tokens, ids_crc32 of every document, as read back from the files
     its ids were written to.
 
     Ids are those of the tokenizer file ``path``, readable on every executor, and the
     end id. Null and empty texts have the end id alone. Rows come in ascending order of
-    key in the files, null keys first, ties by text. An empty table gives an empty
-    table. Other columns are not read.
+    key in the files, null keys first, rows of one key by a hash of their ids. An empty
+    table gives an empty table. Other columns are not read.
     """
-    spark = docs.sparkSession
-    if parts is None:
-        size = docs.agg(F.sum(F.octet_length(text))).head()[0] or 0
-        parts = max(1, -(-size // PART_BYTES))
-    folder = shared_folder(spark, "huffman")
-    write_ids(token_rows(docs, path, end, key, text, parts), folder)
-    return read_ids(spark, folder).select(
+    folder = shared_folder(docs.sparkSession, "huffman")
+    rows, counts = token_rows(docs, path, end, key, text)
+    write_ids(rows, counts, _kind(path, end), folder)
+    return read_ids(docs.sparkSession, folder).select(
         F.col("key").alias(key),
         "start",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
