@@ -23,8 +23,10 @@ LEAST_SPREAD = 0.015
 """A threshold is no nearer to the median than ``SLACK`` times this, however alike the
 few held-out texts of a language are."""
 FOLDS = 5
-"""One in so many trusted texts is not learned from: thresholds come from these, as the
-texts that are to be judged were not learned from either."""
+"""One in so many trusted texts of a language, at least one, is not learned from:
+thresholds come from these, as the texts that are to be judged were not learned from
+either."""
+_BINS = 100_000
 TRUSTED_IDS = 2_000_000
 """Trusted ids are broadcast up to so many (8 bytes each) and joined beyond."""
 
@@ -39,6 +41,17 @@ def trusted_ids(labels: DataFrame, key: str, label: str) -> DataFrame:
     return rows.groupBy(F.col(key).alias("_trusted")).agg(F.min(label).alias("_least")).where("_least = 1").select("_trusted")
 
 
+def _folds(trusted: DataFrame, language: str, number: str) -> DataFrame:
+    """By language: the last of the numbers that are held out, so that one in ``FOLDS``
+    distinct ones is, and the first that is learned from: the next, or the same if there
+    is no other. At most ``_BINS`` numbers of a language are looked at."""
+    numbers = trusted.select(language, number).distinct()
+    cut = ngrams.quantiles(numbers, language, number, {"_last_held": 1 / FOLDS}, step=1).select(language, "_last_held")
+    later = numbers.join(cut, language).groupBy(language, "_last_held")
+    after = F.min(F.when(F.col(number) > F.col("_last_held"), F.col(number)))
+    return later.agg(F.coalesce(after, F.max(number)).alias("_first_learned"))
+
+
 def judged(
     docs: DataFrame,
     labels: DataFrame,
@@ -54,8 +67,9 @@ def judged(
 
     A language's threshold is the median log perplexity of its trusted documents that
     were held out, plus ``SLACK`` times the distance to their ``SHARE`` quantile. Copies of
-    a text are held out together, and the distance is at least ``LEAST_SPREAD``. A document is kept if it does not
-    exceed it. Null and empty texts have no perplexity and are not kept. A null language
+    a text are held out together, and the distance is at least ``LEAST_SPREAD``. Where all
+    trusted documents of a language are copies of one text, this is learned from and held
+    against as well. A document is kept if it does not exceed the threshold. Null and empty texts have no perplexity and are not kept. A null language
     is one named ''; documents of a language without trusted text are not judged: kept,
     threshold null. So are all, without labels. Repeated rows are judged alike; a
     repeated key is trusted if none of its labels is bad. Other columns pass through,
@@ -65,10 +79,18 @@ def judged(
     marked, named_id = fresh(docs, "trusted"), fresh(docs, "trusted_id")
     ids = few(trusted_ids(labels, key, label).select(F.col("_trusted").alias(named_id)), TRUSTED_IDS)
     data = docs.join(ids, docs[key] == ids[named_id], "left").withColumn(marked, F.col(named_id).isNotNull())
-    held = fresh(docs, "held_out")
-    out = F.pmod(F.xxhash64(text), F.lit(FOLDS)) == 0
-    data = data.withColumn(held, F.col(marked) & out).drop(named_id)
-    counts = written(ngrams.gram_counts(data, text, language, F.col(marked) & ~F.col(held)), "grams")
+    held, learned, own, bin_of = (fresh(docs, c) for c in ("held_out", "learned", "own_language", "bin"))
+    data = data.drop(named_id).withColumn(own, F.coalesce(F.col(language).cast("string"), F.lit("")))
+    data = data.withColumn(bin_of, F.pmod(F.xxhash64(text, F.lit(11)), F.lit(_BINS)))
+    fold = _folds(data.where(F.col(marked) & F.col(text).isNotNull()), own, bin_of)
+    data = data.join(few(written(fold, "folds")), own, "left").withColumns(
+        {
+            held: F.col(marked) & F.coalesce(F.col(bin_of) <= F.col("_last_held"), F.lit(False)),
+            learned: F.col(marked) & F.coalesce(F.col(bin_of) >= F.col("_first_learned"), F.lit(False)),
+        }
+    )
+    data = data.drop(own, bin_of, "_last_held", "_first_learned", marked)
+    counts = written(ngrams.gram_counts(data, text, language, F.col(learned)), "grams")
     scores = written(ngrams.gram_scores(counts), "scores")
     known = written(counts.where(F.col("n") > 0).select(F.col("language").alias("_known")).distinct(), "languages")
     raw = fresh(data, "raw_score")
