@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -424,10 +424,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ne
 
 
 def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", neighbours: int = NEIGHBOURS) -> DataFrame:
-    """One document of every component, that with the smallest key, with its own
-    columns. Of rows with one key the first by text stays. Rows with a null key stay."""
-    chosen = near_duplicates(docs, key, text, neighbours).where(F.col("kept") & F.col(key).isNotNull()).select(key)
-    nth = fresh(docs, "nth")
-    named = docs.where(F.col(key).isNotNull()).join(chosen, key, "left_semi")
-    one = named.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(text))).where(F.col(nth) == 1)
-    return one.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+    """One document of every component, with its own columns: the one with the smallest
+    key, null keys last. Only confirmed near-duplicates go: rows that share a key but not
+    their text are documents of their own, those without words all stay, and rows without
+    a key are compared like any other."""
+    row, shown = fresh(docs, "row"), "shown"
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(row, text), row, text, neighbours)
+    placed = rows.select(F.col(row).alias("row"), F.col(key).alias(shown)).join(found.select(F.col(row).alias("row"), "component_id"), "row")
+    first = F.min_by("row", F.struct(F.col(shown).isNull(), F.col(shown), "row")).alias(row)
+    chosen = placed.groupBy("component_id").agg(first).select(row)
+    return rows.join(chosen, row, "left_semi").select(*docs.columns)
