@@ -77,23 +77,20 @@ def numbered(
     group: str,
     order: list[str],
     name: str,
-    keys: DataFrame | None = None,
     rows_per_chunk: int = 5_000,
 ) -> DataFrame:
     """Adds the column ``name``: 0, 1, 2, ... inside each ``group``, without gaps.
 
-    No task holds a whole group. Rows are cut into chunks by a hash of the first
-    ``order`` column, each (group, chunk) is numbered by itself, and the rows before it
-    are added from a table of counts. ``keys`` may give the same rows with less work
-    (group and first order column suffice) for the counting. Rows alike in every
-    ``order`` column are numbered in any order. The group must not be null.
+    No task holds a whole group. Rows are cut into chunks by a hash of all ``order``
+    columns, so that many rows of one key, or of none, are spread, each (group, chunk) is
+    numbered by itself, and the rows before it are added from a table of counts. Rows
+    alike in every ``order`` column are numbered in any order. The group must not be null.
     """
-    keys = df if keys is None else keys
-    chunks = max(1, math.ceil(keys.count() / rows_per_chunk))
-    chunk = F.pmod(F.xxhash64(order[0]), F.lit(chunks))
+    chunks = max(1, math.ceil(df.count() / rows_per_chunk))
+    chunk = F.pmod(F.xxhash64(*order), F.lit(chunks))
     before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        keys.groupBy(group, chunk.alias("_chunk"))
+        df.groupBy(group, chunk.alias("_chunk"))
         .count()
         .select(group, "_chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     )

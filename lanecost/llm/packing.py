@@ -105,7 +105,7 @@ def pack(
     bucket = F.size(F.filter(bounds, lambda b: b < F.col("n_tokens"))).cast("int")
     rows = rows.withColumn("bucket", F.least(bucket, F.lit(max(0, len(ends) - 1))))
     rows = rows.withColumn("bucket_length", F.element_at(bounds, F.col("bucket") + 1))
-    rows = numbered(rows, "bucket", [key, "n_tokens"], "_place", None, rows_per_chunk)
+    rows = numbered(rows, "bucket", [key, "n_tokens"], "_place", rows_per_chunk)
     fit = F.greatest(F.floor(F.lit(budget) / F.col("bucket_length")), F.lit(1)).cast("long")
     return rows.select(
         key,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanecost.llm.common import numbered, utf8
+from lanecost.llm.common import numbered, utf8, written
 
 # Multiplier and increment of the generator of jump consistent hashing.
 MULTIPLIER = 2862933555777941757
@@ -98,8 +98,8 @@ def shard_rows(
     rows = placed(
         docs.select(key, (F.octet_length(data) + 16).cast("long").alias("size"), F.crc32(data).alias("text_crc32"))
     ).select(key, "size", "text_crc32", F.col("_at.s0").alias("shard"), F.col("_at.s1").alias("grown_shard"))
-    keys = placed(docs.select(key)).select(key, F.col("_at.s0").alias("shard"))
-    return numbered(rows, "shard", [key, "size", "text_crc32"], "slot", keys, rows_per_chunk)
+    rows = written(rows, "placed")  # numbers and checksums, without the texts
+    return numbered(rows, "shard", [key, "size", "text_crc32"], "slot", rows_per_chunk)
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40, key: str = "doc_id") -> None:

@@ -110,10 +110,18 @@ def test_near_duplicates_of_odd_rows(spark):
     found = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()), key=str)
     assert found == sorted([(None, None, True), (3, 3, True), (2, 2, True), (2, 2, True), (5, 3, False), (5, 3, False), (7, 7, True)], key=str)
     kept = minhash.keep(docs).collect()
-    assert sorted((str(r["doc_id"]), r["component_id"]) for r in kept) == [("2", None), ("3", "y"), ("7", None), ("None", "x")]
+    assert sorted((str(r["doc_id"]), r["component_id"]) for r in kept) == [("2", None), ("2", None), ("3", "y"), ("7", None)]
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_only_confirmed_duplicates_go(spark):
+    """Rows with one key and other texts, and copies without a key."""
+    one, two = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(1, one), (1, two), (1, one), (None, two), (None, "a text that stands alone in the table"), (None, None), (2, "")]
+    kept = minhash.keep(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, one), (1, two), rows[4], rows[5], rows[6]], key=str)
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(201, 200), (200, 202), (202, 201), (300, 300)]
     found = {r["node"]: r["component"] for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}

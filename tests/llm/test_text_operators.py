@@ -142,10 +142,12 @@ def test_a_table_of_chunks_begun_anew_gives_the_same(monkeypatch):
     assert more[: stops[-1]].tolist() == ids.tolist()
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_huffman_files_give_back_the_ids(spark, docs, parts):
+@pytest.mark.parametrize(("part", "block"), [(1 << 22, 1 << 18), (5_000, 700)])
+def test_huffman_files_give_back_the_ids(spark, docs, monkeypatch, part, block):
     path = vocabulary(BYTES)
-    rows = huffman.round_trip(docs, path, end=2, parts=parts).orderBy("doc_id").collect()
+    monkeypatch.setattr(huffman, "PART_IDS", part)
+    monkeypatch.setattr(huffman.write_ids, "__defaults__", (huffman.LONGEST, block))
+    rows = huffman.round_trip(docs, path, end=2).orderBy("doc_id").collect()
     start = 0
     assert [r["doc_id"] for r in rows] == list(range(len(ODD)))
     for row, text in zip(rows, ODD, strict=True):
@@ -332,6 +334,32 @@ def test_quality_on_held_out_labels(spark):
     assert rate[1] >= 0.97 and rate[0] <= 0.35
 
 
+def test_huffman_rows_of_one_key(spark):
+    """Many rows without a key, and repeated ones: all there, each id once in the file."""
+    path = vocabulary(BYTES)
+    rows = [(None, f"text number {i % 50}") for i in range(400)] + [(3, "a"), (3, "b"), (3, "a"), (1, None)]
+    got = huffman.round_trip(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path).collect()
+    ends = sorted((r["start"], r["start"] + r["n_tokens"]) for r in got)
+    assert len(got) == len(rows) and ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:], strict=False))
+    ids = [np.array([*huffman.tokenizer(path).encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for _, t in rows]
+    assert sorted(r["ids_crc32"] for r in got) == sorted(map(zlib.crc32, ids))
+    order = [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])]
+    assert order == [None] * 400 + [1, 3, 3, 3]
+
+
+@pytest.mark.parametrize("trusted", [1, 2, 4])
+def test_quality_with_few_trusted_texts(spark, trusted):
+    """Whatever their hashes, some are held out, so that junk is judged."""
+    good = "the men of the town went to see the old house at the end of the road and came back in the evening. "
+    for seed in range(3):
+        rows = [(i, f"{good * 12} {seed} {i} men of the town", "en") for i in range(trusted)]
+        rows += [(10, "zq#%" * 200, "en"), (11, good * 9, "en"), (12, "zq#%" * 200, "de")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        labels = spark.createDataFrame([(i, 1) for i in range(trusted)], "doc_id long, quality int")
+        kept = {r["doc_id"]: r["kept"] for r in quality.judged(docs, labels).collect()}
+        assert kept == {**{i: True for i in range(trusted)}, 10: False, 11: True, 12: True}
+
+
 def test_quality_without_labels_keeps_all_texts(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     rows = quality.judged(docs, labels, names=("p", "t", "k")).collect()
