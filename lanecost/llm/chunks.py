@@ -7,6 +7,7 @@ from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 Segment = Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 """Of distinct chunks, and which of them are odd: ids, where each chunk's start, how many."""
@@ -60,6 +61,19 @@ class ChunkTable:
         """The numbers of all chunks, and how many each text has."""
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         at = np.fromiter(map(self._numbers.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
+        self._learn()
+        return at, sizes
+
+    def _numbered_lists(self, texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts as lists of chunks; only the distinct ones are looked up."""
+        chunks = texts.flatten().dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        numbers = np.fromiter(map(self._numbers.__getitem__, distinct), np.int64, len(distinct))
+        self._learn()
+        return numbers[np.asarray(chunks.indices)], np.asarray(texts.value_lengths()).astype(np.int64)
+
+    def _learn(self) -> None:
+        """Segment the chunks that were asked for first since the last time."""
         new, self._numbers.new = self._numbers.new, []
         if new:
             odd = np.fromiter(map(self._is_odd, new), bool, len(new)) if self._is_odd else np.zeros(len(new), bool)
@@ -69,7 +83,6 @@ class ChunkTable:
             self._ids = np.concatenate([self._ids, ids])
             self._seen = np.concatenate([self._seen, np.zeros(len(new), np.int64)])
             self._odd = np.concatenate([self._odd, odd])
-        return at, sizes
 
     def _gathered(self, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self._lengths[at]
@@ -79,12 +92,14 @@ class ChunkTable:
         stops = np.concatenate([[0], ends])[np.cumsum(sizes)]
         return self._ids[np.arange(total) + shift], stops
 
-    def ids(self, texts: list[list[str]], again: Callable[[int], list[str]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def ids(
+        self, texts: list[list[str]] | pa.ListArray, again: Callable[[int], list[str]] | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, given as their chunks, and where each text's end.
         ``again`` gives the chunks of a text that has odd ones."""
         if len(self._numbers) > self._most:
             self._trim()
-        at, sizes = self._numbered(texts)
+        at, sizes = self._numbered_lists(texts) if isinstance(texts, pa.ListArray) else self._numbered(texts)
         if again and self._odd[at].any():
             owner = np.repeat(np.arange(len(sizes)), sizes)
             parts = np.split(at, np.cumsum(sizes)[:-1])

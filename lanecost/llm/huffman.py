@@ -23,6 +23,7 @@ from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,9 @@ LONGEST = 18
 LANE = 256
 BLOCK_IDS = 1 << 18
 """A block ends with the document that reaches so many ids; documents are not split."""
-ROWS = 1_000
+ROWS = 3_000
+SLICE_BYTES = 12 << 20
+"""Rows and bytes of texts that a task segments together."""
 PART_IDS = 4 << 20
 """Ids of a part on average."""
 FIRST = "\ue000"
@@ -64,7 +67,8 @@ def _table(path: str) -> ChunkTable:
     def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """The ids, and how many each has, of texts that the model cuts apart wherever
         they stand in a row."""
-        ids = np.array(model.encode("".join(texts), add_special_tokens=False).ids, np.int32)
+        (found,) = model.encode_batch_fast(["".join(texts)], add_special_tokens=False)  # without places in the text
+        ids = np.array(found.ids, np.int32)
         ends = np.cumsum(width[ids])
         stops = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in texts])
         cuts = np.searchsorted(ends, stops) + 1
@@ -73,7 +77,7 @@ def _table(path: str) -> ChunkTable:
         return ids, np.diff(cuts, prepend=0)
 
     def alone(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [x.ids for x in model.encode_batch(texts, add_special_tokens=False)]
+        found = [x.ids for x in model.encode_batch_fast(texts, add_special_tokens=False)]
         flat = np.fromiter(chain.from_iterable(found), np.int32)
         return flat, np.fromiter(map(len, found), np.int64, len(found))
 
@@ -96,8 +100,8 @@ def _table(path: str) -> ChunkTable:
 def _irregular(chunk: str) -> bool:
     """Whether a word between two spaces is none, or has other white space at an end:
     there the model's own first split may cut elsewhere."""
-    word = chunk.removeprefix(FIRST)
-    return not word or word[0].isspace() or word[-1].isspace()
+    word = chunk[1:] if chunk[:1] == FIRST else chunk
+    return not word or word != word.strip()
 
 
 def _first_marked(words: list[str]) -> list[str]:
@@ -105,7 +109,7 @@ def _first_marked(words: list[str]) -> list[str]:
     return words
 
 
-def tokenize(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+def tokenize(texts: list[str] | pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts and where each text's end, as the library's encode gives
     them without special tokens.
 
@@ -113,12 +117,13 @@ def tokenize(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     model's own first split always cuts, as such a space begins a word. Words that show
     other spacing have their text cut by a pattern instead of at every space.
     """
-    if any(FIRST in t for t in texts):
-        found = tokenizer(path).encode_batch(texts, add_special_tokens=False)
+    texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+    if pc.any(pc.match_substring(texts, FIRST)).as_py():
+        found = tokenizer(path).encode_batch(texts.to_pylist(), add_special_tokens=False)
         sizes = [len(x.ids) for x in found]
         return np.array([i for x in found for i in x.ids], np.int32), np.cumsum(sizes)
-    words = [_first_marked(t.split(" ")) for t in texts]
-    return _table(path).ids(words, lambda i: _first_marked(_REGULAR.split(texts[i])))
+    words = pc.split_pattern(pc.binary_join_element_wise(FIRST, texts, ""), " ")
+    return _table(path).ids(words, lambda i: _first_marked(_REGULAR.split(texts[int(i)].as_py())))
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -207,6 +212,18 @@ class Decoder:
         return out.T.reshape(-1)[:n]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a bounded number and size, so that the words of many texts meet; a longer
+    text comes alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, min(at + ROWS, int(np.searchsorted(ends, before + SLICE_BYTES, "right"))))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def token_rows(docs: DataFrame, path: str, end: int, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, np.ndarray]:
     """key, ids of every text and how often each id occurs in all of them. ids ends with
     the end id and holds little-endian integers of :func:`width` bytes.
@@ -227,9 +244,8 @@ def token_rows(docs: DataFrame, path: str, end: int, key: str = "doc_id", text:
         total, keys = np.zeros(0, np.int64), None
         for batch in batches:
             keys = batch.schema.field(0).type
-            for i in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(i, ROWS)
-                ids, stops = tokenize([t or "" for t in rows.column(1).to_pylist()], path)
+            for rows in _slices(batch):
+                ids, stops = tokenize(pc.fill_null(rows.column(1), ""), path)
                 found = np.bincount(ids, minlength=max(len(total), end + 1))
                 found[end] += len(stops)
                 found[: len(total)] += total
