@@ -428,10 +428,9 @@ def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", neighbours: i
     key, null keys last. Only confirmed near-duplicates go: rows that share a key but not
     their text are documents of their own, those without words all stay, and rows without
     a key are compared like any other."""
-    row, shown = fresh(docs, "row"), "shown"
+    row = fresh(docs, "row")
     rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    found = near_duplicates(rows.select(row, text), row, text, neighbours)
-    placed = rows.select(F.col(row).alias("row"), F.col(key).alias(shown)).join(found.select(F.col(row).alias("row"), "component_id"), "row")
-    first = F.min_by("row", F.struct(F.col(shown).isNull(), F.col(shown), "row")).alias(row)
-    chosen = placed.groupBy("component_id").agg(first).select(row)
-    return rows.join(chosen, row, "left_semi").select(*docs.columns)
+    found = written(near_duplicates(rows.select(row, text), row, text, neighbours).select(F.col(row).alias("row"), "component_id"), "found")
+    ranked = rows.select(F.col(row).alias("row"), F.struct(F.col(key).isNull(), F.col(key), F.col(row)).alias("rank")).join(found, "row")
+    chosen = ranked.groupBy("component_id").agg(F.min_by("row", "rank").alias(row)).select(row)
+    return rows.join(written(chosen, "chosen"), row, "left_semi").select(*docs.columns)
