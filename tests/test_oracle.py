@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 # In the smallest tables a few line items share their four-part key, so a load
 # refuses them, as it should; loads are compared on the next size.
 LARGER = "/root/testdata/sf0.01"
-LOADS = ("load_run", "incremental_batch", "load_two_sources")
+LOADS = ("load_run", "incremental_batch", "load_two_sources", "maintained_measures")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
