@@ -39,8 +39,9 @@ def sequential_ids(
     task = F.shiftright(place, 33)
     counts = rows.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select("task", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
-    number = (F.col(place) + F.col("shift")).cast("string")
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1
+    shifts = counts.select(F.col("task").alias(f"{place}_task"), shift.alias(f"{place}_shift"))
+    number = (F.col(place) + F.col(f"{place}_shift")).cast("string")
     padded = F.when(F.length(number) < digits, F.lpad(number, digits, "0")).otherwise(number)
-    placed = rows.join(shifts, task == F.col("task"))
+    placed = rows.join(shifts, task == F.col(f"{place}_task"))
     return placed.select(*(rows[c] for c in df.columns), F.concat(F.lit(prefix), padded).alias("sequence_id"))

@@ -119,6 +119,12 @@ def test_rows_without_an_order_value_come_first(spark):
     assert found == {"b": "SIM-00001", "c": "SIM-00002", "a": "SIM-00003"}
 
 
+def test_ids_beside_columns_named_like_helpers(spark):
+    df = spark.createDataFrame([("a", 5, "x", "y"), ("b", 4, "x", "y")], "id string, day int, task string, hash string")
+    found = {r.id: (r.sequence_id, r.task, r.hash) for r in sequential_ids(df, "day", "id").collect()}
+    assert found == {"b": ("SIM-00001", "x", "y"), "a": ("SIM-00002", "x", "y")}
+
+
 def test_long_numbers_are_not_cut(spark):
     df = spark.range(12).select(F.col("id").cast("string"), F.lit(1).alias("day"))
     ids = {r.sequence_id for r in sequential_ids(df, "day", "id", "N", 1).collect()}
