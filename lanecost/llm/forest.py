@@ -3,7 +3,9 @@
 The trees are fitted on a bounded sample, and every row is put into a leaf of each. A
 query searches all trees through one priority queue, which always goes on at the node
 whose splits it lies nearest to, until the leaves found hold enough rows. The rows of
-these leaves are its candidates and are ranked by their exact inner products.
+these leaves are its candidates and are ranked by their exact inner products. How many
+rows are enough is measured: some queries are compared with all rows, and the searches
+go on until they would have met a stated share of those true neighbours.
 
 Largest inner products become nearest directions by one more coordinate, which brings
 all rows to the length of the longest (and is 0 for queries).
@@ -24,13 +26,15 @@ from pyspark.sql import types as T
 from lanecost.llm.common import written
 
 TREES = 12
-LEAVES = 128
-"""Leaves of a tree, about; a leaf is not smaller than ``LEAST_LEAF`` sample rows."""
+ROWS_PER_LEAF = 200
+"""Rows of a leaf, at most; no leaf is split that holds ``LEAST_LEAF`` sample rows or fewer."""
 LEAST_LEAF = 16
 SAMPLE_VALUES = 4_000_000
 """Bound of the sample that trees are fitted on, in vector components: 62,500 rows of 64."""
-SHARE = 0.9
-"""A search ends when its leaves hold this share of all rows, counting a row in each of its trees."""
+RECALL = 0.95
+"""Share of the true neighbours of the probes that a search must meet."""
+PROBES = 128
+"""Queries that are compared with all rows, to measure how far a search must go."""
 LEAST_ROWS = 500
 FIRST = 24
 """Leaves from the queue's front that give each query a first bound."""
@@ -136,14 +140,16 @@ def _lengthened(rows: np.ndarray, longest: float) -> np.ndarray:
     return np.column_stack([rows, rest]).astype(np.float32)
 
 
-def fit(rows: DataFrame, dims: int, longest: float, trees: int = TREES, sample_values: int = SAMPLE_VALUES) -> Forest:
+def fit(
+    rows: DataFrame, dims: int, total: int, longest: float, trees: int = TREES, sample_values: int = SAMPLE_VALUES
+) -> Forest:
     """A forest fitted on the rows first by hash, at most ``sample_values`` components in
-    all; each tree in a task of its own."""
+    all, of ``total`` rows; each tree in a task of its own."""
     spark = rows.sparkSession
     most = max(2, sample_values // dims)
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(most).select("vector").toArrow()
     data = spark.sparkContext.broadcast(_lengthened(_vectors(sample.column("vector").combine_chunks(), dims), longest))
-    leaf = max(LEAST_LEAF, len(data.value) // LEAVES)
+    leaf = max(LEAST_LEAF, ROWS_PER_LEAF * len(data.value) // max(total, 1))
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,6 +191,76 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _scaled(data: np.ndarray, longest: float) -> np.ndarray:
+    """Queries, brought to the length of the longest row."""
+    return data * (longest / np.linalg.norm(data, axis=1)[:, None])
+
+
+def _true_neighbours(routed: DataFrame, probes: pa.Table, dims: int, k: int) -> DataFrame:
+    """probe, leaves: of every probe, the leaves of each of the k rows nearest among all.
+    A task keeps k rows a probe, whatever it reads."""
+    names = np.asarray(probes.column("id"))
+    data = _vectors(probes.column("vector").combine_chunks(), dims)
+    sent = routed.sparkSession.sparkContext.broadcast((names, data))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, data = sent.value
+        scores = np.full((len(names), k), -np.inf)
+        leaves: np.ndarray | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            close = data @ _vectors(batch.column("vector"), dims).T
+            close[names[:, None] == np.asarray(batch.column("id"))[None, :]] = -np.inf
+            own = np.asarray(batch.column("leaves").flatten()).reshape(batch.num_rows, -1)
+            if leaves is None:
+                leaves = np.zeros((len(names), k, own.shape[1]), np.int64)
+            few = min(k, batch.num_rows)
+            at = np.argpartition(-close, few - 1, axis=1)[:, :few]
+            all_scores = np.concatenate([scores, np.take_along_axis(close, at, axis=1)], axis=1)
+            all_leaves = np.concatenate([leaves, own[at]], axis=1)
+            keep = np.argpartition(-all_scores, k - 1, axis=1)[:, :k]
+            scores = np.take_along_axis(all_scores, keep, axis=1)
+            leaves = np.take_along_axis(all_leaves, keep[:, :, None], axis=1)
+        if leaves is not None:
+            i, j = np.nonzero(scores > -np.inf)
+            width = leaves.shape[2]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(i) + 1) * width, pa.int32()), pa.array(leaves[i, j].ravel(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(scores[i, j]), lists], ["probe", "score", "leaves"])
+
+    found = routed.mapInArrow(best, "probe long, score double, leaves array<long>")
+    order = Window.partitionBy("probe").orderBy(F.col("score").desc(), "leaves")
+    return found.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= k).select("probe", "leaves")
+
+
+def rows_until(truth: list[tuple[int, list[int]]], margins: np.ndarray, forest: Forest, sizes: np.ndarray) -> list[int]:
+    """For every (query, leaves of a true neighbour), the rows that the query's search
+    holds when it comes to the first of these leaves."""
+    before: dict[int, np.ndarray] = {}
+    for query in {q for q, _ in truth}:
+        turn = np.array(forest.search(margins[query], sizes, math.inf), np.int64)
+        held = np.zeros(forest.leaves, np.int64)
+        held[turn] = np.cumsum(sizes[turn]) - sizes[turn]
+        before[query] = held
+    return [int(before[q][leaves].min()) for q, leaves in truth]
+
+
+def _enough(
+    routed: DataFrame, queries: DataFrame, forest: Forest, sizes: np.ndarray, dims: int, longest: float, k: int, recall: float
+) -> float:
+    """Rows that a search must hold, so that those of the probes (the ``PROBES`` queries
+    first by hash) together meet the given share of their true neighbours."""
+    probes = queries.orderBy(F.xxhash64("id"), "id").limit(PROBES).toArrow()
+    if not probes.num_rows:
+        return 0
+    truth = [(r["probe"], r["leaves"]) for r in _true_neighbours(routed, probes, dims, k).collect()]  # PROBES * k at most
+    if not truth:
+        return 0
+    data = _scaled(_vectors(probes.column("vector").combine_chunks(), dims), longest)
+    needed = sorted(rows_until(truth, data.astype(np.float32) @ forest.normals[:, :-1].T - forest.offsets, forest, sizes))
+    return needed[math.ceil(recall * len(needed)) - 1] + 1
+
+
 def _ranked(rows: DataFrame, asked: DataFrame, dims: int, k: int) -> DataFrame:
     """query, id, score: of every block of rows, each asking query's k best that reach
     its bound, by inner products in double precision."""
@@ -222,7 +298,8 @@ def nearest(
     key: str = "vec_id",
     vector: str = "embedding",
     trees: int = TREES,
-    share: float = SHARE,
+    recall: float = RECALL,
+    share: float | None = None,
     sample_values: int = SAMPLE_VALUES,
 ) -> DataFrame:
     """query_id, rank (from 1), ``key``, score: of every query its k nearest found.
@@ -236,6 +313,10 @@ def nearest(
     one per row's vector, merged. Tables with fewer rows give all candidates; an empty
     table gives an empty one. Other columns are not read. All rows are indexed, and a
     leaf of any size, as of equal vectors, is cut into blocks.
+
+    A search ends when its leaves hold as many rows (a row counted in each of its trees)
+    as ``PROBES`` queries needed to meet ``recall`` of their true neighbours, or the given
+    ``share`` of all rows. Vectors in clusters need few leaves, evenly spread ones many.
     """
     schema = T.StructType([
         T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()),
@@ -251,7 +332,7 @@ def nearest(
     rows = rows.where(F.size("vector") == dims)
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     longest = math.sqrt(rows.agg(F.max(square)).head()[0])
-    forest = spark.sparkContext.broadcast(fit(rows, dims, longest, trees, sample_values))
+    forest = spark.sparkContext.broadcast(fit(rows, dims, total, longest, trees, sample_values))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,19 +347,20 @@ def nearest(
     for row in counted:
         sizes[row["leaf"]] = row["count"]
     sent = spark.sparkContext.broadcast(sizes)
-    enough = max(share * total, LEAST_ROWS * trees)
-
     queries = routed.where(is_query(F.col("id"))).select("id", "vector")
     number = queries.count()
-    groups = max(1, math.ceil(number / QUERIES_PER_BLOCK))
+    least = max(LEAST_ROWS, k + 1) * trees
+    if share is None:
+        enough = max(_enough(routed, queries, forest.value, sizes, dims, longest, k, recall), least)
+    else:
+        enough = max(share * total, least)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees_of = forest.value
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                data = _vectors(part.column("vector"), dims)
-                data = data * (longest / np.linalg.norm(data, axis=1)[:, None])
+                data = _scaled(_vectors(part.column("vector"), dims), longest)
                 margins = data.astype(np.float32) @ trees_of.normals[:, :-1].T - trees_of.offsets
                 found = [trees_of.search(m, sent.value, enough) for m in margins]
                 at = np.repeat(np.arange(len(found)), [len(f) for f in found])
@@ -296,26 +378,23 @@ def nearest(
     asked = queries.repartition(tasks, "id").mapInArrow(search, f"query long, vector {kind}, leaf long, turn int")
     asked = written(asked, "searched")
 
-    most = max(1, math.ceil(int(sizes.max(initial=1)) / ROWS_PER_BLOCK))
-    parts = F.greatest(F.ceil(F.col("size") / ROWS_PER_BLOCK), F.lit(1)).cast("int")
-    by_leaf = spark.createDataFrame([(i, int(n)) for i, n in enumerate(sizes)], "leaf long, size long")
-    held = routed.select("id", "vector", F.explode("leaves").alias("leaf"))
-    if most > 1:
-        held = held.join(F.broadcast(by_leaf), "leaf").withColumn("parts", parts)
-        asked = asked.join(F.broadcast(by_leaf), "leaf").withColumn("parts", parts)
-    else:
-        held, asked = held.withColumn("parts", F.lit(1)), asked.withColumn("parts", F.lit(1))
-    blocks = held.select(
+    # blocks of rows and groups of queries by leaf; leaves that nobody asks are left out
+    asks = asked.groupBy("leaf").count().collect()  # at most one per leaf
+    shape = [
+        (r["leaf"], max(1, math.ceil(int(sizes[r["leaf"]]) / ROWS_PER_BLOCK)), math.ceil(r["count"] / QUERIES_PER_BLOCK)) for r in asks
+    ]
+    by_leaf = F.broadcast(spark.createDataFrame(shape, "leaf long, parts int, groups int"))
+    blocks = routed.select("id", "vector", F.explode("leaves").alias("leaf")).join(by_leaf, "leaf").select(
         "leaf",
-        F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
+        F.pmod(F.xxhash64("id", "vector"), "parts").cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"),
         "id",
         "vector",
     )
-    asking = asked.select(
+    asking = asked.join(by_leaf, "leaf").select(
         "leaf",
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int").alias("group"),
+        F.pmod(F.xxhash64("query", "vector"), "groups").cast("int").alias("group"),
         "query",
         "vector",
         "turn",

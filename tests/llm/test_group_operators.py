@@ -137,8 +137,8 @@ def plain_nearest(ids, data, query, k):
     return [(ids[i], scores[i]) for i in order]
 
 
-def test_recall_on_embeddings_with_a_small_search(spark):
-    """The usual index parameters, but a search that must leave most rows aside."""
+def test_recall_on_embeddings(spark):
+    """The usual parameters on evenly spread vectors."""
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = table.collect()
     ids, data = [r["vec_id"] for r in rows], np.array([r["embedding"] for r in rows], dtype=float)
@@ -156,6 +156,46 @@ def test_recall_on_embeddings_with_a_small_search(spark):
     assert np.mean(recall) >= 0.9
 
 
+def clusters(spark, number, each, dims=32):
+    random = np.random.default_rng(5)
+    data = (random.normal(0, 1, (number, 1, dims)) + random.normal(0, 0.15, (number, each, dims))).reshape(-1, dims)
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    data = data[random.permutation(len(data))]
+    return data, spark.createDataFrame([(i, v) for i, v in enumerate(data.tolist())], "vec_id long, embedding array<double>")
+
+
+def test_search_of_clusters_reads_few_rows(spark, monkeypatch):
+    """How far a search goes follows from the probes: here a tenth of the rows at most,
+    a row counted in each of its trees, and most neighbours are found."""
+    data, table = clusters(spark, 300, 100)
+    measured = []
+    enough = forest._enough
+    monkeypatch.setattr(forest, "_enough", lambda *args: measured.append(enough(*args)) or measured[0])
+    found = defaultdict(set)
+    for r in forest.nearest(table, lambda key: key % 100 == 0, k=10).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    assert max(measured[0], forest.LEAST_ROWS * forest.TREES) <= 0.2 * len(data)
+    assert measured[0] <= 0.1 * len(data)
+    recall = [len(found[q] & {i for i, _ in plain_nearest(range(len(data)), data, q, 10)}) / 10 for q in range(0, len(data), 100)]
+    assert np.mean(recall) >= 0.95
+
+
+def test_rows_until_true_neighbours_are_met():
+    """The measured numbers are those at which a search stops just behind the neighbour."""
+    random = np.random.default_rng(6)
+    rows = random.normal(size=(600, 8)).astype(np.float32)
+    grown = forest._tree(rows[:, :], 20, 0)
+    trees = forest.Forest(np.array(grown[0]), np.array(grown[1]), np.array(grown[2]).reshape(-1, 2), np.array([grown[3]]), grown[4])
+    leaves = trees.route(rows)
+    sizes = np.bincount(leaves.ravel(), minlength=trees.leaves)
+    margins = rows[:5] @ trees.normals.T - trees.offsets
+    for q in range(5):
+        for near in random.integers(0, 600, 20):
+            until = forest.rows_until([(q, leaves[near].tolist())], margins, trees, sizes)[0]
+            assert leaves[near][0] in trees.search(margins[q], sizes, until + 1)
+            assert leaves[near][0] not in trees.search(margins[q], sizes, until)
+
+
 def test_neighbours_of_odd_vectors_and_large_ties(spark):
     """Equal vectors beyond a block, lengths that differ, and rows that take no part."""
     random = np.random.default_rng(2)
