@@ -42,6 +42,8 @@ CONTEXT = 40
 LABELERS = 5
 ROUNDS = 25
 CERTAIN = 0.9
+PIECE = 64
+"""Items that a walk gathers before it sets them aside, see ``_gathered``."""
 
 
 def _span(kind: str, base: bool, start: Column, end: Column, votes: list[Column], features: list[Column]) -> Column:
@@ -58,6 +60,25 @@ def _span(kind: str, base: bool, start: Column, end: Column, votes: list[Column]
 Judge = Callable[[Column, Column, Column], tuple[list[Column], list[Column]]]
 
 
+def _gathered(items: Column, start: Column, sample: Column, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """The values that a walk over ``items`` gives, in order. ``step`` takes the state, at
+    first ``start``, and an item; it gives the next state and an array like ``[sample]``,
+    often empty. Full pieces are set aside, so that a longer walk copies little more."""
+    empty = F.slice(F.array(sample), 1, 0)
+    first = F.struct(start.alias("own"), empty.alias("last"), F.slice(F.array(empty), 1, 0).alias("aside"))
+
+    def turn(state: Column, x: Column) -> Column:
+        own, new = step(state["own"], x)
+        full = F.size(state["last"]) >= PIECE
+        return F.struct(
+            own.alias("own"),
+            F.concat(F.when(full, empty).otherwise(state["last"]), new).alias("last"),
+            F.when(full, F.concat(state["aside"], F.array(state["last"]))).otherwise(state["aside"]).alias("aside"),
+        )
+
+    return F.aggregate(items, first, turn, lambda end: F.flatten(F.concat(end["aside"], F.array(end["last"]))))
+
+
 def _found(text: Column, pattern: str, kind: str, base: bool, passes: Callable[[Column], Column], judge: Judge | None) -> Column:
     """The spans of the pattern's leftmost matches that pass. Their places follow from
     the lengths of the matches and of what lies between them, in one walk."""
@@ -70,17 +91,15 @@ def _found(text: Column, pattern: str, kind: str, base: bool, passes: Callable[[
     zero = F.lit(0).cast("long")
     none = F.lit(0)
     sample = _span(kind, base, zero, zero, [none] * LABELERS, [none] * 4)
-    empty = F.slice(F.array(sample), 1, 0)
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["before"])
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + F.length(x["before"])
         end = start + F.length(x["match"])
         votes, features = judge(x["before"], x["match"], x["after"]) if judge else ([none] * LABELERS, [none] * 4)
         span = _span(kind, base, start, end, votes, features)
-        spans = F.when(passes(x["match"]), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.cast("long").alias("at"), spans.alias("spans"))
+        return end.cast("long"), F.when(passes(x["match"]), F.array(span)).otherwise(F.slice(F.array(sample), 1, 0))
 
-    return F.aggregate(walk, F.struct(zero.alias("at"), empty.alias("spans")), step)["spans"]
+    return _gathered(walk, zero, sample, step)
 
 
 def _digits(match: Column) -> Column:
@@ -292,25 +311,27 @@ def decisions(counts: DataFrame) -> DataFrame:
 def _standing(spans: Column, accepted: list[tuple[int, tuple[int, ...]]]) -> Column:
     """Base spans, and the accepted others that overlap neither these nor each other."""
     codes = F.array(F.lit(""), *(F.lit(f"{rank}:{','.join(map(str, f))}") for rank, f in accepted))
-    base = F.filter(spans, lambda s: s["base"])
 
     def code(s: Column) -> Column:
         return F.concat_ws(":", s["rank"].cast("string"), F.array_join(F.transform(s["features"], lambda f: f.cast("string")), ","))
 
-    def apart(s: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-
-    extra = F.filter(spans, lambda s: ~s["base"] & F.array_contains(codes, code(s)) & apart(s))
-    first = F.struct(F.lit(0).alias("upto"), F.slice(extra, 1, 0).alias("spans"))
-    walked = F.aggregate(
-        extra,
-        first,
-        lambda a, s: F.when(
-            s["start"] >= a["upto"],
-            F.struct(s["end"].alias("upto"), F.concat(a["spans"], F.array(s)).alias("spans")),
-        ).otherwise(a),
-    )
-    return F.when(F.exists(spans, lambda s: ~s["base"]), F.array_sort(F.concat(base, walked["spans"]))).otherwise(spans)
+    none = F.lit(0)
+    sample = _span("email", True, none, none, [none] * LABELERS, [none] * 4)
+    nothing = F.slice(F.array(sample), 1, 0)
+
+    # backwards: accepted ones that end before the next base span begins
+    def ends(following: Column, s: Column) -> tuple[Column, Column]:
+        stays = s["base"] | (F.array_contains(codes, code(s)) & (s["end"] <= following))
+        return F.when(s["base"], s["start"]).otherwise(following), F.when(stays, F.array(s)).otherwise(nothing)
+
+    # forwards: of these, the ones that begin after all base spans and others before them
+    def begins(upto: Column, s: Column) -> tuple[Column, Column]:
+        stays = s["base"] | (s["start"] >= upto)
+        return F.when(stays, F.greatest(upto, s["end"])).otherwise(upto), F.when(stays, F.array(s)).otherwise(nothing)
+
+    ending = _gathered(F.reverse(spans), F.lit(2**31 - 1), sample, ends)
+    standing = _gathered(F.reverse(ending), none, sample, begins)
+    return F.when(F.exists(spans, lambda s: ~s["base"]), standing).otherwise(spans)
 
 
 def detect(docs: DataFrame, text: str = "text", drop: tuple[str, ...] = (), name: str = "spans") -> DataFrame:
@@ -371,18 +392,19 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
     name = fresh(docs, "pii_spans")
     rows = detect(docs, text, name=name)
     kinds = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
+    whole = F.col(text)
+    last = F.struct(F.length(whole).alias("start"), F.length(whole).alias("end"), F.lit("").alias("put"))
+    places = F.transform(name, lambda s: F.struct(s["start"], s["end"], F.element_at(kinds, s["rank"] + 1).alias("put")))
 
-    def step(a: Column, s: Column) -> Column:
-        gap = F.substring(F.col(text), a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
-        new = F.when(s["start"] >= a["at"], F.concat(a["done"], gap, F.element_at(kinds, s["rank"] + 1)))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), new.otherwise(a["done"]).alias("done"))
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        gap = F.substring(whole, at + 1, F.greatest(s["start"] - at, F.lit(0)))
+        new = F.when(s["start"] >= at, F.array(gap, s["put"])).otherwise(F.slice(F.array(F.lit("")), 1, 0))
+        return F.greatest(at, s["end"]), new
 
-    walk, cleaned = fresh(rows, "pii_walk"), fresh(rows, "pii_cleaned")
-    tail = F.substring(F.col(text), F.col(walk)["at"] + 1, F.length(text))
+    cleaned = fresh(rows, "pii_cleaned")
     changed = F.size(name) > 0
-    rows = rows.withColumn(walk, F.aggregate(name, start, step))
-    rows = rows.withColumn(cleaned, F.when(changed, F.concat(F.col(walk)["done"], tail)).otherwise(F.col(text)))
+    pieces = _gathered(F.concat(places, F.array(last)), F.lit(0), F.lit(""), step)
+    rows = rows.withColumn(cleaned, F.when(changed, F.array_join(pieces, "")).otherwise(whole))
     out = {c: F.col(c) for c in docs.columns}
     if length in out:
         new = F.when(changed, F.length(cleaned)).otherwise(F.col(length))

@@ -102,6 +102,22 @@ def test_redaction_replaces_spans_and_keeps_the_rest(spark):
     assert [got[i]["spans"] for i in (1, 2, 3)] == ["x", "y", "z"]
 
 
+def test_texts_with_more_spans_than_a_piece(spark):
+    """Walks set full pieces of spans aside; places and order stay those of the patterns."""
+    counts = [pii.PIECE - 1, pii.PIECE, pii.PIECE + 1, 5 * pii.PIECE + 3]
+    texts = [" ".join(f"é{i} u{i}@ex.org 10.0.0.{i % 300}" for i in range(n)) for n in counts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.report(docs).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    for i, text in enumerate(texts):
+        found = [("email", m) for m in re.finditer(r"u\d+@ex\.org", text)]
+        found += [("ip", m) for m in re.finditer(r"10\.0\.0\.(\d+)", text) if int(m[1]) <= 255]
+        found = sorted((m.start(), kind, m.end()) for kind, m in found)
+        assert got[i] == ",".join(f"{kind}:{start}:{end}" for start, kind, end in found)
+        plain = re.sub(r"u\d+@ex\.org", "[EMAIL]", text)
+        assert clean[i] == re.sub(r"10\.0\.0\.(\d+)", lambda m: "[IP]" if int(m[1]) <= 255 else m[0], plain)
+
+
 def test_em_finds_the_reliable_labelers(spark):
     random = np.random.default_rng(5)
     hits, alarms = [0.9, 0.8, 0.7, 0.9, 0.6], [0.1, 0.3, 0.2, 0.05, 0.5]
