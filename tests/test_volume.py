@@ -2,6 +2,9 @@
 
 import re
 
+import catalogue
+from lanecost.operators import rules
+from lanecost.operators.measures import CUBE_KEYS, PARTS, cube
 from lanecost.plans import views
 from lanecost.sources.order_star import order_star
 
@@ -35,3 +38,23 @@ def test_line_items_are_dealt_by_part_before_they_carry_their_order(spark):
 def test_customers_are_merged_at_every_size(spark):
     found = shuffles(views.shipment_analysis(order_star(spark, SF)))
     assert any(keys.startswith("customer_id") and "customer_name" in columns for keys, columns in found)
+
+
+def test_keys_are_looked_up_without_the_rest_of_the_shipment(spark):
+    star = order_star(spark, SF)
+    found = without_broadcast(spark, lambda: rules.row_findings(star, tables=["fact_shipment"]))
+    by_customer = [columns for keys, columns in found if keys.startswith("customer_id") and "shipment_id" in columns]
+    assert by_customer and not any("delay_reason" in columns for columns in by_customer)
+
+
+def test_parts_are_kept_without_a_shuffle_and_add_up(spark):
+    fact = order_star(spark, SF).fact_shipment.selectExpr("*", "CAST(ship_date_key DIV 100 AS INT) AS ship_month")
+    path = f"{catalogue.shared_folder(spark, 'parts')}/fact"
+    fact.write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert not shuffles(cube(stored))
+    keys = ["ship_month", *CUBE_KEYS]
+    want = stored.groupBy(*keys).agg(*[part.compute().cast(part.kind).alias(p) for p, part in PARTS.items()])
+    sums = [f"CAST(sum({p}) AS {part.kind}) AS {p}" for p, part in PARTS.items()]
+    got = cube(stored).groupBy(*keys).agg(*[catalogue.F.expr(s) for s in sums])
+    assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
