@@ -58,3 +58,18 @@ def test_parts_are_kept_without_a_shuffle_and_add_up(spark):
     sums = [f"CAST(sum({p}) AS {part.kind}) AS {p}" for p, part in PARTS.items()]
     got = cube(stored).groupBy(*keys).agg(*[catalogue.F.expr(s) for s in sums])
     assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
+
+
+def test_order_tables_are_joined_once_for_all_loads(spark, monkeypatch):
+    given = []
+    plain = catalogue.load
+
+    def noted(store, tables, **more):
+        given.append(tables["fact_shipment"].inputFiles())
+        return plain(store, tables, **more)
+
+    monkeypatch.setattr(catalogue, "load", noted)
+    larger = "/root/testdata/sf0.01"  # keys of the smallest tables repeat
+    catalogue._moved_store(spark, larger)
+    assert len(given) == 2
+    assert not any("lineitem" in file for files in given for file in files)
