@@ -72,4 +72,6 @@ def test_order_tables_are_joined_once_for_all_loads(spark, monkeypatch):
     larger = "/root/testdata/sf0.01"  # keys of the smallest tables repeat
     catalogue._moved_store(spark, larger)
     assert len(given) == 2
+    catalogue.load_two_sources(spark, larger)
+    assert len(given) == 3
     assert not any("lineitem" in file for files in given for file in files)
