@@ -67,7 +67,7 @@ def _table(path: str) -> ChunkTable | None:
         return None
     alone = model.piece_to_id(MARK)
 
-    def segment(words: list[str], _: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def segment(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found = [ids if word else [alone] for word, ids in zip(words, model.encode(words, num_threads=1), strict=True)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.int32), np.cumsum(lengths) - lengths, lengths

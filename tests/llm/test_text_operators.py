@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lanecost.llm import huffman, ngrams, pieces, pii, quality, rules, sharding
+from lanecost.llm import chunks, huffman, ngrams, pieces, pii, quality, rules, sharding
 from lanecost.llm.queries import BYTES, PIECES, vocabulary
 from lanecost.llm.sql import SHARDS
 
@@ -451,3 +451,37 @@ def test_ids_of_irregular_spacing_and_trimmed_tables(monkeypatch, most):
         expected = [x.ids for x in huffman.tokenizer(path).encode_batch(texts[i : i + 4], add_special_tokens=False)]
         assert [x.tolist() for x in np.split(ids, stops[:-1])] == expected
     huffman._table.cache_clear()
+
+
+@pytest.mark.parametrize("most", [(5, 1 << 20), (10**6, 200), (10**6, 1 << 26)])
+def test_ids_of_random_texts_are_those_of_the_library(monkeypatch, most):
+    """Signs, line ends, spaces of all kinds, added tokens and private-use characters beside
+    one another, with tables that hold few chunks, few bytes, or all."""
+    path = vocabulary(BYTES)
+    huffman._table.cache_clear()
+    monkeypatch.setattr(huffman._table(path), "_most", most[0])
+    monkeypatch.setattr(chunks, "MOST_BYTES", most[1])
+    parts = [*"abZ09'.,;<|>_- \n\t\r\x0b\x1c\x7f\x85\xa0éüß×÷ªº½ʼɏȿΩя日の\u3000\u2009\u200b\ufeff\u180e“”—«😀\ue000"]
+    parts += ["<|endoftext|>", "'s", "'ll", "  ", "\n\n", " word", "the ", "word.\nNext", "über, "]
+    random = np.random.default_rng(7)
+    for n in (1, 3, 8, 40):
+        texts = ["".join(random.choice(parts, random.integers(0, n + 1))) for _ in range(500)]
+        ids, stops = huffman.tokenize(texts, path)
+        expected = [x.ids for x in huffman.tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in np.split(ids, stops[:-1])] == expected
+    huffman._table.cache_clear()
+
+
+def test_words_are_segmented_once_whatever_signs_follow(monkeypatch):
+    path = vocabulary(BYTES)
+    huffman._table.cache_clear()
+    table, given = huffman._table(path), []
+    own = table._segment
+    monkeypatch.setattr(table, "_segment", lambda new, *more: given.extend(new) or own(new, *more))
+    words = [f"w{chr(97 + i)}rd" for i in range(20)]
+    texts = [f"{a} {a}, {a}. {a}{sign}\n{b} {b}" for a in words for b in words for sign in ("", ".", "!", ":", "ü.", "...")]
+    ids, stops = huffman.tokenize(texts, path)
+    expected = [x.ids for x in huffman.tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, stops[:-1])] == expected
+    assert len(given) <= 100
+    huffman._table.cache_clear()
