@@ -45,8 +45,8 @@ PART_IDS = 4 << 20
 """Ids of a part on average."""
 FIRST = "\ue000"
 """A private-use character: texts may hold it like any other, as chunks need no mark."""
-JOINED = 16_000
-"""Chunks that the model gets as one text."""
+JOINED = 1 << 18
+"""Bytes of chunks that the model gets at a time; a longer chunk comes alone."""
 
 
 def _bytes(*spans: tuple[int, int]) -> np.ndarray:
@@ -114,12 +114,11 @@ def _table(path: str) -> ArrowTable:
         apart = (data[stops[:-1]] == 0x20) & _DARK[data[stops[:-1] + 1]] & (np.diff(stops) > 1)
         apart &= ~_matched(chunks, _added(path))
         single, regular = chunks.filter(pa.array(~apart)), chunks.filter(pa.array(apart))
-        parts = [alone(single.to_pylist())]
+        parts = [alone(single.slice(a, b - a).to_pylist()) for a, b in _runs(_content(single)[1])]
         data, stops = _content(regular)
-        for i in range(0, len(regular), JOINED):
-            some = stops[i : i + JOINED + 1]
-            found = joined(data[some[0] : some[-1]].tobytes(), some[1:] - some[0])
-            parts.append(found or alone(regular.slice(i, JOINED).to_pylist()))
+        for a, b in _runs(stops):
+            found = joined(data[stops[a] : stops[b]].tobytes(), stops[a + 1 : b + 1] - stops[a])
+            parts.append(found or alone(regular.slice(a, b - a).to_pylist()))
         order = np.concatenate([np.flatnonzero(~apart), np.flatnonzero(apart)])
         lengths = np.concatenate([n for _, n in parts])
         shift = np.cumsum(lengths) - lengths  # where each begins in the order of parts
@@ -140,6 +139,15 @@ def _content(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return data, stops.astype(np.int64) - stops[0]
 
 
+def _runs(stops: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where runs of at most ``JOINED`` bytes begin and end, by the chunks' own stops."""
+    at = 0
+    while at < len(stops) - 1:
+        end = max(at + 1, int(np.searchsorted(stops, stops[at] + JOINED, "right")) - 1)
+        yield at, end
+        at = end
+
+
 def _matched(texts: pa.StringArray, pattern: str) -> np.ndarray:
     return pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False).astype(bool)
 

@@ -461,6 +461,7 @@ def test_ids_of_random_texts_are_those_of_the_library(monkeypatch, most):
     huffman._table.cache_clear()
     monkeypatch.setattr(huffman._table(path), "_most", most[0])
     monkeypatch.setattr(chunks, "MOST_BYTES", most[1])
+    monkeypatch.setattr(huffman, "JOINED", min(most))
     parts = [*"abZ09'.,;<|>_- \n\t\r\x0b\x1c\x7f\x85\xa0éüß×÷ªº½ʼɏȿΩя日の\u3000\u2009\u200b\ufeff\u180e“”—«😀\ue000"]
     parts += ["<|endoftext|>", "'s", "'ll", "  ", "\n\n", " word", "the ", "word.\nNext", "über, "]
     random = np.random.default_rng(7)
