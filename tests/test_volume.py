@@ -75,3 +75,12 @@ def test_order_tables_are_joined_once_for_all_loads(spark, monkeypatch):
     catalogue.load_two_sources(spark, larger)
     assert len(given) == 3
     assert not any("lineitem" in file for files in given for file in files)
+
+
+def test_shipments_as_csv_take_less_than_half_of_their_text(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(catalogue, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    found = catalogue.csv_scan_roundtrip(spark, "/root/testdata/sf0.01")
+    names = found.columns
+    text = found.select(catalogue.F.sum(catalogue.F.octet_length(catalogue.F.concat_ws(",", *names)) + 1)).head()[0]
+    written = sum(f.stat().st_size for f in (tmp_path / "csv").rglob("part-*"))
+    assert 0 < written < text / 2
