@@ -84,3 +84,10 @@ def test_shipments_as_csv_take_less_than_half_of_their_text(spark, monkeypatch,
     text = found.select(catalogue.F.sum(catalogue.F.octet_length(catalogue.F.concat_ws(",", *names)) + 1)).head()[0]
     written = sum(f.stat().st_size for f in (tmp_path / "csv").rglob("part-*"))
     assert 0 < written < text / 2
+
+
+def test_shipments_copied_for_several_loads_are_written_small(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(catalogue, "load", lambda store, tables, **more: given.extend(tables["fact_shipment"].inputFiles()))
+    catalogue._moved_store(spark, "/root/testdata/sf0.01")
+    assert given and all(file.endswith(".zstd.parquet") for file in given)
